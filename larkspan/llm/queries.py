@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspan.llm import bpe, tokens
+from larkspan.llm import bpe, langid, linedup, quality, secrets, tokens
 from larkspan.llm.common import load
 
 
@@ -20,13 +20,36 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(load(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.dedup_documents(load(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_secrets": op2_secrets,
+    "op4_quality": op4_quality,
+    "op6_line_dedup": op6_line_dedup,
     "op8_bpe": op8_bpe,
+    "op9_language": op9_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_secrets": secrets.oracle(),
+    "op6_line_dedup": linedup.oracle_text(),
+}
