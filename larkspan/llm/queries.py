@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspan.llm import bpe, langid, linedup, quality, secrets, tokens
+from larkspan.llm import blobscan, bpe, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens
 from larkspan.llm.common import load
 
 
@@ -21,17 +21,29 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_documents(load(spark, sf_dir, "documents"))
+    return blobscan.scan_documents(load(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permindex.nearest(load(spark, sf_dir, "embeddings"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_documents(load(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderdup.classify_documents(load(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(load(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -40,16 +52,24 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(load(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan_documents(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secrets": op2_secrets,
+    "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
+    "op5_neighbours": op5_neighbours,
     "op6_line_dedup": op6_line_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {
-    "op2_secrets": secrets.oracle(),
+    "op2_secrets": blobscan.oracle(),
     "op6_line_dedup": linedup.oracle_text(),
 }
