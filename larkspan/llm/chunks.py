@@ -43,7 +43,7 @@ def gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
     return pool[np.repeat(starts - before, lens) + np.arange(total)]
 
 
-def slices(texts: pa.Array, most: int = 6_000_000) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
     """Runs of texts of about `most` bytes, at least one text each."""
     at, n = 0, len(texts)
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -64,17 +64,19 @@ def plain(texts: pa.Array) -> pa.Array:
 class ChunkEncoder:
     """encode: gives the packed little-endian 32-bit ids of each string of a list. special: strings that end a segment."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: tuple[str, ...] = (), limit: int = 300_000):
-        self.encode, self.special, self.memo = encode, special, Memo(limit)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: tuple[str, ...] = (), limit: int = 400_000):
+        self.encode, self.special, self.limit = encode, special, limit
+        self.memos: dict[str, Memo] = {}
 
-    def pieces(self, keys: list[str]) -> list[bytes]:
-        found = self.memo.get(keys)
-        missing = [i for i, v in enumerate(found) if v is None]
-        if missing:
-            new = self.encode([keys[i] for i in missing])
+    def pieces(self, words: list[str], before: str) -> list[bytes]:
+        """Packed ids of each word with `before` put before it."""
+        memo = self.memos.setdefault(before, Memo(self.limit))
+        found = memo.get(words)
+        if missing := [i for i, v in enumerate(found) if v is None]:
+            new = self.encode([before + words[i] for i in missing])
             for i, v in zip(missing, new, strict=True):
                 found[i] = v
-            self.memo.put((keys[i], found[i]) for i in missing)
+            memo.put((words[i], found[i]) for i in missing)
         return found
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,9 +90,8 @@ class ChunkEncoder:
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         first, back = np.unique(at[heads], return_inverse=True)
-        keys = [f" {w}" for w in words] + [words[i] for i in first]  # a text's first chunk has no space before it
         at[heads] = len(words) + back
-        packed = self.pieces(keys)
+        packed = self.pieces(words, " ") + self.pieces([words[i] for i in first], "")  # a text's first chunk has no space before it
         lens = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         pool = np.frombuffer(b"".join(packed), "<u4")
         ids = gather(pool, (np.cumsum(lens) - lens)[at], lens[at])
