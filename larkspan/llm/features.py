@@ -35,7 +35,7 @@ def word_features(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[
             bucket.append(((h ^ np.uint64(salt * 0x51ED27)) * SPREAD >> np.uint64(64 - bits)).astype(np.int64))
 
         h = np.zeros(n, np.uint64)
-        for size in range(1, max(sizes) + 1):
+        for size in range(1, min(max(sizes), n) + 1):
             h[: n - size + 1] = h[: n - size + 1] * BASE + buf[size - 1 :]
             if size in sizes:
                 ok = left >= size

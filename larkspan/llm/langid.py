@@ -89,7 +89,7 @@ class ChainModel:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         word, bucket = self.features(words)
-        out = np.stack([np.bincount(word, weights=w, minlength=len(words)) for w in (self.weights[:, j][bucket] for j in range(len(self.langs)))], 1)
+        out = np.stack([np.bincount(word, weights=w, minlength=len(words)) for w in (self.weights[:, j][bucket] for j in range(self.weights.shape[1]))], 1)
         return np.exp(np.clip(out - out.max(1, keepdims=True), -30, 0))
 
     @classmethod
@@ -176,18 +176,18 @@ class ChainModel:
         index = {w: i for i, w in enumerate(distinct)}
         to = np.fromiter((index[w] for w in clean), np.int64, len(clean))
         has = np.fromiter(map(bool, clean), bool, len(clean))
-        table = self.emissions(distinct) if distinct else np.ones((0, len(self.langs)))
+        table = self.emissions(distinct) if distinct else np.ones((0, self.weights.shape[1]))
         kept = has[at] if len(at) else np.zeros(0, bool)
         seq, counts = to[at[kept]], sums_by_text(kept.astype(np.int64), offsets)
         starts = np.concatenate([[0], np.cumsum(counts)])
         full = np.flatnonzero(counts)
         if not len(full):
-            return np.zeros((0, len(self.langs))), starts, kept
+            return np.zeros((0, self.weights.shape[1])), starts, kept
         lane, first, held = chains(counts[full], lanes)
         steps, wide = int(held.max()), len(held)
         row = np.repeat(first - starts[full], counts[full]) + np.arange(len(seq))
         col = np.repeat(lane, counts[full])
-        emit = np.ones((steps, wide, len(self.langs)))
+        emit = np.ones((steps, wide, self.weights.shape[1]))
         emit[row, col] = table[seq]
         begins = np.zeros((steps, wide), bool)
         begins[first, lane] = True
