@@ -8,17 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Most keys that are broadcast as hot.
+HOT_KEYS = 100_000
+
+
 def salted_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], per_part: int = 100_000, how: str = "inner") -> DataFrame:
     """Joins facts to dims (inner, left, left_semi or left_anti) with each key's facts split into parts of about per_part rows.
 
     Only the dims of keys with more facts than that are copied, once for each part. The counts are an aggregate that
-    Spark combines before its shuffle.
+    Spark combines before its shuffle. With more than HOT_KEYS such keys none stands out, and a plain join, whose large
+    partitions adaptive execution splits, does as well.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
     parts = facts.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("__parts")).where("__parts > 1")
+    if parts.limit(HOT_KEYS + 1).count() > HOT_KEYS:
+        return facts.join(dims, list(on), how)
     salt = F.pmod(F.xxhash64(*facts.columns), F.coalesce("__parts", F.lit(1)))
-    # a key with more than per_part facts: no more keys than facts / per_part
+    # HOT_KEYS rows at most
     left = facts.join(F.broadcast(parts), list(on), "left").withColumn("__salt", salt).drop("__parts")
     right = dims.join(F.broadcast(parts), list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)).cast("bigint") - 1))).drop("__parts")
     return left.withColumn("__salt", F.col("__salt").cast("bigint")).join(right, [*on, "__salt"], how).drop("__salt")
