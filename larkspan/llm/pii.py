@@ -6,6 +6,7 @@ transducers undo look-alike letters, invisible characters, spelled digits, and w
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -92,8 +93,16 @@ OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = re.compile(rf"(?i){OPEN}(?:at|@|arroba)(?:{CLOSE})")
 DOT = re.compile(rf"(?i){OPEN}(?:dot|\.|punkt|point|punto)(?:{CLOSE})")
 BRACKETED = re.compile(r"(?i)[(\[{<]\s{0,3}(?:at|@|arroba|dot|\.|punkt|point|punto)\s{0,3}[)\]}>]")
-WRITTEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+( at | arroba |@)[a-z0-9-]+(?:(?: dot | punkt | punto |\.)[a-z0-9-]+)+(?!\w)")
-WRITTEN_PART = re.compile(r"(?i) (at|arroba|dot|punkt|punto) ")
+WRITTEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+?(?:[ _-]dot[ _-][a-z0-9_%+-]+?)*(?:[ _-](?:at|arroba)[ _-]| @ |@)[a-z0-9-]+?(?:(?:[ _-](?:dot|punkt|punto)[ _-]| \. |\.)[a-z0-9-]+)+(?!\w)")
+WRITTEN_PART = re.compile(r"(?i)[ _-](at|arroba|dot|punkt|punto)[ _-]| ([@.]) ")
+#: What `disguised` looks for before the costlier WRITTEN.
+WORD_SIGN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| @ | \. ")
+DOTTED = re.compile(r"(?i)(?<=[0-9])[ _-](?:dot|punkt|punto|point)[ _-](?=[0-9])")
+PLUS = re.compile(r"(?i)(?<!\w)plus[ -]?(?=[0-9][0-9 ().-]{6})")
+ENTITY = re.compile(r"(?i)&(?:#0*64|#x0*40|commat|#0*46|#x0*2e|period|#0*43|#x0*2b|plus);")
+#: Digits among which O, o, I and l stand for 0 and 1.
+SLIPPED = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){7,}(?![A-Za-z0-9])")
+SLIP = re.compile(r"[0-9][OoIl]|[OoIl][0-9]")
 ODD = re.compile(f"[{INVISIBLE}{''.join(LOOK_ALIKES)}٠-٩۰-۹०-९！-～\U0001d400-\U0001d7ff]")
 
 
@@ -130,13 +139,26 @@ def glyphs(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def entities(tape: Tape) -> None:
+    tape.rewrite([(*m.span(), html.unescape(m[0])) for m in ENTITY.finditer(tape.text)])
+
+
+def slips(tape: Tape) -> None:
+    edits = []
+    for m in SLIPPED.finditer(tape.text):
+        if 2 * sum(c.isdigit() for c in m[0]) >= sum(c.isalnum() for c in m[0]):
+            edits += [(i, i + 1, "0" if c in "Oo" else "1") for i, c in enumerate(m[0], m.start()) if c in "OoIl"]
+    tape.rewrite(edits)
+
+
 def signs(tape: Tape) -> None:
     tape.rewrite(sorted([(*m.span(), "@") for m in AT.finditer(tape.text)] + [(*m.span(), ".") for m in DOT.finditer(tape.text)]))
     edits = []
     for m in WRITTEN.finditer(tape.text):
         inner = [*WRITTEN_PART.finditer(tape.text, m.start(), m.end())]
-        edits += [(*x.span(), "@" if x[1].lower() in ("at", "arroba") else ".") for x in inner]
+        edits += [(*x.span(), "@" if (x[1] or x[2]).lower() in ("at", "arroba", "@") else ".") for x in inner]
     tape.rewrite(edits)
+    tape.rewrite([(*m.span(), ".") for m in DOTTED.finditer(tape.text)])
 
 
 def digits(tape: Tape) -> None:
@@ -152,10 +174,17 @@ def digits(tape: Tape) -> None:
         if m.end() > last:
             edits.append((last, m.end(), ""))
     tape.rewrite([e for e in edits if e[1] > e[0]])
+    tape.rewrite([(*m.span(), "+") for m in PLUS.finditer(tape.text)])
 
 
 def disguised(text: str) -> bool:
-    return bool((not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or (" dot " in (low := text.lower()) or " punkt " in low or " punto " in low or " arroba " in low or " at " in low) and WRITTEN.search(text) or SPELLED.search(text))
+    if (not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or SPELLED.search(text):
+        return True
+    if "&" in text and ENTITY.search(text):
+        return True
+    if DIGIT.search(text) and (SLIP.search(text) or PLUS.search(text) or DOTTED.search(text)):
+        return True
+    return bool(WORD_SIGN.search(text) and WRITTEN.search(text))
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -164,7 +193,7 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     if not disguised(text):
         return base, []
     tape = Tape(text)
-    for step in (glyphs, signs, digits):
+    for step in (entities, glyphs, signs, digits, slips):
         step(tape)
     if tape.text == text:
         return base, []

@@ -170,6 +170,13 @@ def test_op10(spark, data, texts):
         ("call plus four nine one five one two three four five six seven please", "phone", "plus four nine one five one two three four five six seven"),
         ("card ４１１１ １１１１ １１１１ １１１１ end", "card", "４１１１ １１１１ １１１１ １１１１"),
         ("ip 10[.]20[.]30[.]40 end", "ip", "10[.]20[.]30[.]40"),
+        ("ask john dot smith at mail dot example dot com ok", "email", "john dot smith at mail dot example dot com"),
+        ("ask john_at_example_dot_com ok", "email", "john_at_example_dot_com"),
+        ("ask john @ example . com ok", "email", "john @ example . com"),
+        ("ask john&#64;example&#46;com ok", "email", "john&#64;example&#46;com"),
+        ("ip 192 dot 168 dot 1 dot 20 end", "ip", "192 dot 168 dot 1 dot 20"),
+        ("call plus 49 151 2345678 now", "phone", "plus 49 151 2345678"),
+        ("card 4l11 111I 1111 1lll end", "card", "4l11 111I 1111 1lll"),
         ("4111​1111​1111​1111", "card", "4111​1111​1111​1111"),
     ],
 )
