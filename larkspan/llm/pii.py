@@ -88,6 +88,8 @@ VALUE_OF = {name: str(d) for d, names in enumerate(DIGIT_NAMES) for name in name
 NAME = "|".join(sorted(VALUE_OF, key=lambda x: (-len(x), x)))
 #: Seven digits at least, spelled or not, of which the first is spelled or follows a plus.
 SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus[\s,.-]{{1,3}}|\+\s?)?(?:{NAME}))(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9])(?!\w)|[\s,.-]{{1,3}}(?:dot|point|punkt|punto)(?!\w)){{6,}}")
+#: The same in lower-case text, a little wider and faster: what `disguised` looks for.
+SPELLED_LOW = re.compile(rf"(?<![a-z])(?:{NAME})(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9]|dot|point|punkt|punto)){{6}}")
 SPELLED_PART = re.compile(rf"(?i)plus|\+|{NAME}|[0-9]|dot|point|punkt|punto")
 OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = re.compile(rf"(?i){OPEN}(?:at|@|arroba)(?:{CLOSE})")
@@ -178,7 +180,7 @@ def digits(tape: Tape) -> None:
 
 
 def disguised(text: str) -> bool:
-    if (not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or SPELLED.search(text):
+    if (not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or SPELLED_LOW.search(text.lower()):
         return True
     if "&" in text and ENTITY.search(text):
         return True
