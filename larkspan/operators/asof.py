@@ -8,20 +8,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], time: str, right_time: str | None = None, tie: Sequence[str] = (), values: Sequence[str] = (), strict: bool = False, tolerance: str | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], time: str, right_time: str | None = None, tie: Sequence[str] = (), values: Sequence[str] = (), strict: bool = False, tolerance: str | None = None, bucket_s: int | None = None) -> DataFrame:
     """`left` with the columns `values` of the last right row of the same key whose time isn't later (strict: is earlier).
 
     One shuffle by key and a window over both sides' union, so no row pairs are made. Of right rows of one time the
     largest by `tie` counts. Rows without a match, with a null key or a null time get nulls. tolerance: an interval
     such as "5 minutes", beyond which a match is too old.
+
+    bucket_s splits each key's rows by time, for timestamps and keys too large for one task: buckets of so many seconds
+    are dealt out by themselves, and each gets the last right row of the earlier ones, which an aggregate of one row for
+    each key and bucket finds.
     """
     right_time = right_time or time
     packed = F.struct(F.col(right_time).alias("__t"), *(F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)), *(F.col(c).alias(f"__v{i}") for i, c in enumerate(values)))
     a = left.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(on)), F.col(time).alias("__time"), F.lit(0 if strict else 1).alias("__side"), F.struct(*left.columns).alias("__left"))
     b = right.where(F.col(right_time).isNotNull()).select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(on)), F.col(right_time).alias("__time"), F.lit(1 if strict else 0).alias("__side"), packed.alias("__right"))
+    keys = [f"__k{i}" for i in range(len(on))]
+    if bucket_s:
+        bucket = F.floor(F.unix_seconds(F.col("__time").cast("timestamp")) / bucket_s)
+        a, b = a.withColumn("__b", bucket), b.withColumn("__b", bucket)
+        lasts = b.groupBy(*keys, "__b").agg(F.max(F.struct("__right", "__side")).alias("__last"))
+        grid = a.select(*keys, "__b").distinct().unionByName(lasts.select(*keys, "__b", "__last"), allowMissingColumns=True).groupBy(*keys, "__b").agg(F.first("__last", ignorenulls=True).alias("__last"))
+        earlier = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        carried = grid.withColumn("__last", F.last("__last", ignorenulls=True).over(earlier)).where(F.col("__last").isNotNull())
+        b = b.unionByName(carried.select(*keys, F.col("__last.__right.__t").alias("__time"), F.col("__last.__side").alias("__side"), F.col("__last.__right").alias("__right"), "__b"))
+        keys.append("__b")
     both = a.unionByName(b, allowMissingColumns=True)
     order = [F.col("__time"), F.col("__side"), *(F.col(f"__right.__tie{i}") for i in range(len(tie)))]
-    w = Window.partitionBy(*(f"__k{i}" for i in range(len(on)))).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hit = both.withColumn("__hit", F.last("__right", ignorenulls=True).over(w)).where(F.col("__left").isNotNull())
     ok = F.col("__time").isNotNull()
     for i in range(len(on)):

@@ -72,6 +72,15 @@ def join_asof(t: Tables) -> DataFrame:
     return asof_join(buys, views, ["user_id"], "ts", tie=["before_id"], values=["before_id", "before_value"]).select("event_id", "before_id", "before_value")
 
 
+@query("""SELECT a.event_id, b.event_id AS before_id FROM (SELECT * FROM events WHERE event_type = 'purchase') a
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') b ON a.user_id = b.user_id AND a.ts > b.ts""")
+def join_asof_bucketed(t: Tables) -> DataFrame:
+    """Strictly earlier matches, with each user's rows dealt out by day."""
+    buys = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = t.events.where("event_type = 'click'").select(F.col("event_id").alias("before_id"), "user_id", "ts")
+    return asof_join(buys, clicks, ["user_id"], "ts", tie=["before_id"], values=["before_id"], strict=True, bucket_s=86_400).select("event_id", "before_id")
+
+
 @query("""SELECT a.event_id AS error_id, b.event_id AS click_id FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts BETWEEN a.ts - INTERVAL 2 HOUR AND a.ts + INTERVAL 1 HOUR
 WHERE a.event_type = 'error' AND b.event_type = 'click'""")
 def join_interval(t: Tables) -> DataFrame:

@@ -28,6 +28,8 @@ def test_asof_edges(spark):
     got = lambda **o: {r["id"]: r["v"] for r in asof_join(left, right, ["k"], "t", tie=["n"], values=["v"], **o).collect()}
     assert got() == {1: "z", 2: "x", 3: None, 4: None, 5: None, 6: "z"}
     assert got(strict=True) == {1: "x", 2: None, 3: None, 4: None, 5: None, 6: "z"}
+    assert got(bucket_s=60) == got(bucket_s=3600) == got(bucket_s=420) == got()
+    assert got(bucket_s=300, strict=True) == got(strict=True)
     assert got(tolerance="20 minutes") == {1: "z", 2: "x", 3: None, 4: None, 5: None, 6: None}
     assert asof_join(left, right.limit(0), ["k"], "t", values=["v"]).where("v IS NULL").count() == 6
     assert asof_join(left.limit(0), right, ["k"], "t", values=["v"]).count() == 0
