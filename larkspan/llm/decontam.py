@@ -7,6 +7,7 @@ each. Both sides are lower-cased, with one space for whatever isn't a letter or
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -116,16 +117,28 @@ def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple
         yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
 
 
+#: A worker's matchers by block, kept from task to task; the last two.
+MATCHERS: dict[str, Matcher] = {}
+
+
+def matcher_of(key: str, items: list[tuple[int, str]], rate: float) -> Matcher:
+    if key not in MATCHERS:
+        while len(MATCHERS) > 1:
+            del MATCHERS[next(iter(MATCHERS))]
+        MATCHERS[key] = Matcher(items, rate)
+    return MATCHERS[key]
+
+
 def hits_columns(spark: SparkSession, benchmark: DataFrame, text: Column, rate: float = RATE) -> list[Column]:
     """For each block of items a column with the hits of each normalised text."""
 
     def column(items: list[tuple[int, str]]) -> Column:
         held = spark.sparkContext.broadcast(items)  # a block
-        state: dict[str, Matcher] = {}
+        key = uuid.uuid4().hex
 
         @F.arrow_udf(HITS)
         def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            matcher = state.setdefault("m", Matcher(held.value, rate))
+            matcher = matcher_of(key, held.value, rate)
             for texts in batches:
                 yield pa.array([[dict(zip(("item_id", "distance", "budget"), h, strict=True)) for h in matcher.find(t)] for t in plain(texts).to_pylist()], HIT_TYPE)
 
