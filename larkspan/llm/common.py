@@ -51,7 +51,17 @@ def cut(df: DataFrame, kind: str) -> DataFrame:
     """`df` written to the shared folder and read again: its lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, kind)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._larkspan_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of cut() tables of which nothing will be read any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._larkspan_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc32_mod(name: str, n: int) -> Column:

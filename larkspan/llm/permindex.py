@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import cut
+from larkspan.llm.common import cut, discard
 
 PIVOTS, PREFIX, SHARE, LEAST = 256, 96, 0.125, 300
 #: Vectors in a block of the index, and queries that are sent to all blocks at once.
@@ -97,6 +97,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVO
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.FixedSizeListArray.from_arrays(first.ravel(), prefix).cast(pa.list_(pa.int32()))], ["x", "ids", "first"])
 
     posted = cut(classes.repartition(max(1, -(-n // BLOCK))).mapInArrow(index, "x array<double>, ids array<bigint>, first array<int>"), "vector-index")
+    discard(classes)
     asked = rows.where(F.col("vec_id") % every == 0)
     blocks = -(-asked.count() // QUERIES)
     found = None
@@ -118,6 +119,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVO
 
         part = posted.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
         found = part if found is None else found.union(part)
+    discard(rows)
     if found is None:
         return spark.createDataFrame([], out)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
