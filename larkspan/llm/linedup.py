@@ -59,7 +59,8 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
         return (F.trim(line) == "") | ~F.array_contains(F.col(gone), F.struct(h1.alias("h1"), h2.alias("h2")))
 
     lines = F.split(F.col("text"), BREAK)
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    # merged at every size: a plan that broadcasts what is small today moves all texts only once the corpus has grown
+    joined = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(key)), "left")
     left = F.when(F.col(gone).isNull(), lines).otherwise(F.filter(lines, stays))
     kept = joined.withColumn(gone, left).withColumn(n, F.coalesce(F.size(lines), F.lit(0)).cast("bigint")).withColumn(m, F.col(n) - F.coalesce(F.size(gone), F.lit(0)))
     kept = kept.withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(m) == 0, F.col("text")).otherwise(F.array_join(gone, BREAK))))
