@@ -8,6 +8,7 @@ version the ledger hasn't for it, and joins findings back to all paths that hold
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +20,17 @@ LEDGER = "blob binary, scans map<string, array<struct<start: int, end: int>>>"
 
 @dataclass(frozen=True)
 class Rule:
-    """A regular expression's matches, leftmost and non-overlapping; those whose group is shorter than `least` are dropped."""
+    """A regular expression's matches, leftmost and non-overlapping; those whose group is shorter than `least` are dropped.
+
+    Every match holds one of the strings in `holds`, if there are any: a byte search then spares most texts the pattern.
+    """
 
     kind: str
     pattern: str
     version: int = 1
     group: int = 0
     least: int = 0
+    holds: tuple[str, ...] = ()
 
     @property
     def key(self) -> str:
@@ -34,16 +39,16 @@ class Rule:
 
 # The contract's kinds, in its order.
 BASE_RULES = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6),
-    Rule("access", r"AKIA[A-Z0-9]+", least=20),
+    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6, holds=(":", "=")),
+    Rule("access", r"AKIA[A-Z0-9]+", least=20, holds=("AKIA",)),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 #: What the scan finds beyond these.
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("forge", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
-    Rule("chat", r"xox[abeprs]-[A-Za-z0-9-]{10,}"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", holds=("-----BEGIN ",)),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", holds=("eyJ",)),
+    Rule("forge", r"gh[oprsu]_[A-Za-z0-9]{36,}", holds=("gh",)),
+    Rule("chat", r"xox[abeprs]-[A-Za-z0-9-]{10,}", holds=("xox",)),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -63,7 +68,10 @@ def spans(text: Column, rule: Rule) -> Column:
         return F.struct(end.alias("at"), F.when(F.coalesce(x["kept"], F.lit(False)), F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
     found = F.aggregate(lens, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(none)
+    may = text.rlike(rule.pattern)
+    if rule.holds:
+        may = reduce(Column.__or__, (F.contains(text, F.lit(h)) for h in rule.holds)) & may
+    return F.when(may, found).otherwise(none)
 
 
 def address(text: Column) -> Column:
