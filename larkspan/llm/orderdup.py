@@ -2,14 +2,16 @@
 
 A text is its occurrence-labelled k-mers of SHINGLE words. Each of several hash functions samples the two least of them
 and keeps these in text order, so that texts agree in a sketch as their order of k-mers agrees; ROWS sketches make a
-band. The texts of a band are linked to its least and its largest text, if the banded alignment of the k-mers confirms a
-similarity of THRESHOLD: the k-mers that align, divided by all of both texts. Classes are the links' components.
+band. Two texts of a band are linked, if the banded alignment of the k-mers confirms a similarity of THRESHOLD: the
+k-mers that align, divided by all of both texts. Classes are the links' components. The texts of a band are compared
+with its most central one first; then all those that are not yet in one component are compared with each other.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 2
 #: Links of a representative that are verified together.
 SALT = 256
+#: Pairs left for each text of a shared band at which all are compared at once; above it, further representatives come first.
+PAIRS = 16
 CHUNK = 3_000_000
 
 
@@ -107,15 +111,17 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 
 def bands_column(text: Column) -> Column:
-    """The band values of each text; none for a text without words."""
+    """The number of k-mers and the band values of each text; no values for a text without words."""
 
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<size: bigint, bands: array<bigint>>")
     def bands(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            rows = []
+            sizes, rows = [], []
             for part in slices(plain(texts), CHUNK):
-                rows += [sketch(own).view(np.int64) if len(own) else [] for own in kmers(part)]
-            yield pa.array(rows, pa.list_(pa.int64()))
+                for own in kmers(part):
+                    sizes.append(len(own))
+                    rows.append(sketch(own).view(np.int64) if len(own) else [])
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.int64()))], ["size", "bands"])
 
     return bands(text)
 
@@ -166,35 +172,80 @@ def address(text: Column) -> Column:
 
 
 def text_groups(docs: DataFrame) -> DataFrame:
-    """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, bands."""
+    """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, size (of k-mers), bands."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), bands_column(F.col("text")).alias("bands"))
     same = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))
     nulls = F.max(F.when(F.col("doc_id").isNull(), F.col("n")))
-    return same.groupBy("node").agg(least.alias("least"), nulls.alias("nulls"), F.sum("n").alias("copies"), F.first("bands").alias("bands")).select("node", F.col("least.doc_id").alias("id"), F.coalesce("least.n", "nulls").alias("twins"), "copies", "bands")
+    return same.groupBy("node").agg(least.alias("least"), nulls.alias("nulls"), F.sum("n").alias("copies"), F.first("bands").alias("bands")).select("node", F.col("least.doc_id").alias("id"), F.coalesce("least.n", "nulls").alias("twins"), "copies", "bands.size", "bands.bands")
 
 
-def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b: the verified links of distinct texts to the least and largest texts of their bands."""
-    rows = groups.select("node", F.explode("bands").alias("band"))
-    ends = cut(rows.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where(F.col("low") < F.col("high")), "bands")
-    met = rows.join(ends, "band")
-    pairs = met.select("node", F.explode(F.array("low", "high")).alias("rep")).where(F.col("node") != F.col("rep"))
-    # a text has few representatives, but a representative may have many texts: these links are salted below
-    pairs = met_pairs = cut(pairs.distinct().withColumn("salt", F.pmod(F.xxhash64("node", "rep"), F.lit(1 << 30))), "pairs")
-    # the texts of each representative once for every SALT of its links
-    wide = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / SALT).cast("int").alias("parts"))
-    wide = cut(wide, "representatives")
-    pairs = pairs.join(wide, "rep").select("node", "rep", F.pmod("salt", "parts").alias("salt"))
-    texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
-    left = pairs.join(texts, "node").withColumnRenamed("text", "text_a")
+def alike(a: str, b: str, threshold: float) -> Column:
+    """Whether texts of these sizes can reach the threshold at all."""
+    return F.least(a, b) / F.greatest(a, b) >= threshold
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """a, b: the pairs (node, rep) whose similarity reaches the threshold."""
+    # a representative may have many texts: these links are salted, and its text comes once for every SALT of them
+    wide = cut(pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / SALT).cast("int").alias("parts")), "representatives")
+    salted = pairs.join(wide, "rep").select("node", "rep", F.pmod(F.pmod(F.xxhash64("node", "rep"), F.lit(1 << 30)), "parts").alias("salt"))
+    left = salted.join(texts, "node").withColumnRenamed("text", "text_a")
     right = texts.join(wide.withColumnRenamed("rep", "node"), "node").select(F.col("node").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("text").alias("text_b"))
     both = left.join(right, ["rep", "salt"])
     found = cut(both.where(similar_column(F.col("text_a"), F.col("text_b"), threshold)).select(F.col("node").alias("a"), F.col("rep").alias("b")), "near-links")
-    discard(ends, met_pairs, wide)
+    discard(wide)
     return found
 
 
+def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b: verified links of distinct texts. Two texts of a band are in one component of them, or were compared.
+
+    A text is the more central, the more texts its bands have. The others of a band are compared with its most central
+    text, then with the most central one outside the band's largest component, as long as that halves the pairs that are
+    left, and at last all pairs of a band whose components differ are compared.
+    """
+    rows = groups.select("node", "size", F.explode("bands").alias("band"))
+    shared = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
+    met = cut(rows.join(shared, "band").groupBy("node", "size").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands")), "met")
+    texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
+    texts = cut(texts.join(met.select("node"), "node"), "met-texts")
+    members = cut(met.select("node", "size", "weight", F.col("node").alias("root"), F.explode("bands").alias("band")), "members")
+    central = F.max(F.struct("weight", "node", "size", "root")).alias("top")
+    reps = cut(members.groupBy("band").agg(central).select("band", "top.*", F.lit(None).cast("binary").alias("largest")), "reps")
+    most, before, last = PAIRS * met.count(), float("inf"), False
+    tried, found = [], []
+    while True:
+        other = reps.select("band", "largest", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root")))
+        pairs = members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold))
+        if last:
+            # two texts outside the largest component meet twice
+            pairs = pairs.where((F.col("root") == F.col("largest")) | (F.col("node") < F.col("rep_node")))
+        pairs = pairs.groupBy(F.least("node", "rep_node").alias("x"), F.greatest("node", "rep_node").alias("y")).agg(F.min("rep_node").alias("rep"))
+        for old in tried:
+            pairs = pairs.join(old, ["x", "y"], "left_anti")
+        tried.append(cut(pairs, "pairs"))
+        found.append(verified(tried[-1].select(F.when(F.col("rep") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("node"), "rep"), texts, threshold))
+        discard(members, reps)
+        if last:
+            break
+        roots = components(reduce(DataFrame.union, found))
+        members = cut(met.join(roots, "node", "left").select("node", "size", "weight", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band")), "members")
+        parts = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
+        mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", "largest.root", "left").withColumnRenamed("root", "largest"), "mixed")
+        left = mixed.agg(F.sum("left")).first()[0]
+        if not left:
+            discard(members, mixed)
+            break
+        last, before = left <= most or left > before / 2, left
+        rest = members.join(mixed.select("band", "largest"), "band").where(F.col("root") != F.col("largest"))
+        reps = cut(rest if last else rest.groupBy("band", "largest").agg(central).select("band", "top.*", "largest"), "reps")
+        discard(mixed)
+    out = cut(reduce(DataFrame.union, found), "near-links")
+    discard(shared, met, texts, *tried, *found)
+    return out
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """node, class_id, keeper (the node of class_id), twins (the keeper's rows of that id), class_size, for each distinct text."""
     groups = cut(text_groups(docs), "text-groups")

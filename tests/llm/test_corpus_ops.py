@@ -225,6 +225,32 @@ def test_near_classes(spark, documents):
     assert {r["doc_id"] for r in orderdup.keep_one(documents).collect()} == set(want.values())
 
 
+@pytest.mark.parametrize("pairs", [orderdup.PAIRS, 0])
+def test_near_stars(spark, monkeypatch, pairs):
+    """Copies that are near to their original, but not to each other; each group has two originals that share a half."""
+    monkeypatch.setattr(orderdup, "PAIRS", pairs)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    texts = []
+    for n in (200, 60):
+        first = [word() for _ in range(200)]
+        second = first[:150] + [word() for _ in range(50)]
+        for base in (first, second):
+            texts.append(" ".join(base))
+            for _ in range(n):
+                copy = list(base)
+                for i in rng.sample(range(5, 195), 4):
+                    copy[i] = word()
+                texts.append(" ".join(copy))
+    own = list(orderdup.kmers(pa.array(texts, pa.large_string())))
+    bands = [set(orderdup.sketch(k).tolist()) for k in own]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if bands[i] & bands[j] and orderdup.aligned(own[i], own[j]) >= 0.8]
+    want = components_of(range(len(texts)), near)
+    assert sorted(Counter(want.values()).values())[-4:] == [61, 61, 201, 201]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    assert {r["doc_id"]: r["class_id"] for r in orderdup.classify_documents(docs).collect()} == want
+
+
 def test_near_edges(spark):
     long = " ".join(f"w{i}" for i in range(30000))
     docs = odd_docs(spark, [(1, None), (2, ""), (3, "one two"), (4, "One  two"), (5, long), (6, long + " tail"), (7, " \n "), (3, "other text of this id")])
