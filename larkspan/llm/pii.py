@@ -190,7 +190,7 @@ def disguised(text: str) -> bool:
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Base spans, and those that only the normalised text shows: no base span of the kind overlaps them."""
+    """Base spans, and those that only the normalised text shows: they don't lie inside a base span of the kind."""
     base = detect(text)
     if not disguised(text):
         return base, []
@@ -202,7 +202,7 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     more = []
     for kind, a, b in detect(tape.text):
         start, end = tape.starts[a], tape.ends[b - 1]
-        if not any(k == kind and s < end and start < e for k, s, e in base):
+        if not any(k == kind and s <= start and end <= e for k, s, e in base):
             more.append((kind, start, end))
     return base, more
 

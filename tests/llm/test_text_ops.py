@@ -185,6 +185,21 @@ def test_disguises(text, kind, part):
     assert (kind, text.index(part), text.index(part) + len(part)) in more, (base, more)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "part", "plain"),
+    [
+        ("mail jаne@example.com now", "email", "jаne@example.com", "ne@example.com"),
+        ("ask john dot smith@example.com ok", "email", "john dot smith@example.com", "smith@example.com"),
+        ("ask jane@mail.example dot com ok", "email", "jane@mail.example dot com", "jane@mail.example"),
+        ("ip １92.168.1.20 end", "ip", "１92.168.1.20", "92.168.1.20"),
+    ],
+)
+def test_partly_disguised(text, kind, part, plain):
+    base, more = pii.find(text)
+    at = text.index(part)
+    assert (kind, text.index(plain), text.index(plain) + len(plain)) in base and (kind, at, at + len(part)) in more, (base, more)
+
+
 @pytest.mark.parametrize("text", ["the cat sat at home dot", "one two three", "he is at the door. then dot com", "Привет, как дела?", "at (at) at", "[dot]", "zero one two three four five"])
 def test_clean_texts_stay(text):
     assert pii.find(text) == ([], [])
