@@ -95,10 +95,11 @@ OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = re.compile(rf"(?i){OPEN}(?:at|@|arroba)(?:{CLOSE})")
 DOT = re.compile(rf"(?i){OPEN}(?:dot|\.|punkt|point|punto)(?:{CLOSE})")
 BRACKETED = re.compile(r"(?i)[(\[{<]\s{0,3}(?:at|@|arroba|dot|\.|punkt|point|punto)\s{0,3}[)\]}>]")
-WRITTEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+?(?:[ _-]dot[ _-][a-z0-9_%+-]+?)*(?:[ _-](?:at|arroba)[ _-]| @ |@)[a-z0-9-]+?(?:(?:[ _-](?:dot|punkt|punto)[ _-]| \. |\.)[a-z0-9-]+)+(?!\w)")
+#: A bare number or address of figures after the word "at", and a domain that runs on to an @, are prose.
+WRITTEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+?(?:[ _-]dot[ _-][a-z0-9_%+-]+?)*(?:[ _-](?:at|arroba)[ _-](?![0-9]+(?:\.[0-9]+)+(?![\w-]|\.\w))| @ |@)[a-z0-9-]+?(?:(?:[ _-](?:dot|punkt|punto)[ _-]| \. |\.)[a-z0-9-]+)+(?!\w|@\w)")
 WRITTEN_PART = re.compile(r"(?i)[ _-](at|arroba|dot|punkt|punto)[ _-]| ([@.]) ")
-#: What `disguised` looks for before the costlier WRITTEN.
-WORD_SIGN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| @ | \. ")
+#: What `disguised` looks for before the costlier WRITTEN: all that WRITTEN can change holds it.
+WORD_SIGN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| @ | \. |[ _-](?:at|arroba)[ _-][a-z0-9-]+\.[a-z0-9-]")
 DOTTED = re.compile(r"(?i)(?<=[0-9])[ _-](?:dot|punkt|punto|point)[ _-](?=[0-9])")
 PLUS = re.compile(r"(?i)(?<!\w)plus[ -]?(?=[0-9][0-9 ().-]{6})")
 ENTITY = re.compile(r"(?i)&(?:#0*64|#x0*40|commat|#0*46|#x0*2e|period|#0*43|#x0*2b|plus);")

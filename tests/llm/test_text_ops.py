@@ -185,6 +185,19 @@ def test_disguises(text, kind, part):
     assert (kind, text.index(part), text.index(part) + len(part)) in more, (base, more)
 
 
+@pytest.mark.parametrize("other", ["", " &#64;", " (at)"])
+@pytest.mark.parametrize("part", ["john.doe at example.com", "jane AT mail.example.org", "john_at_example.com", "john-arroba-example.com"])
+def test_written_at_before_a_plain_dot(part, other):
+    text = f"ask {part} ok{other}"
+    assert pii.find(text) == ([], [("email", 4, 4 + len(part))])
+
+
+@pytest.mark.parametrize("text", ["reston at leosrm.25@mail4.example.com dot", "seen at 38.130.206.250 and", "seen at 38.130.206.250 (at)"])
+def test_at_in_prose(text):
+    base, more = pii.find(text)
+    assert len(base) == 1 and more == []
+
+
 @pytest.mark.parametrize(
     ("text", "kind", "part", "plain"),
     [
