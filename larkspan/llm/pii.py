@@ -88,9 +88,12 @@ VALUE_OF = {name: str(d) for d, names in enumerate(DIGIT_NAMES) for name in name
 NAME = "|".join(sorted(VALUE_OF, key=lambda x: (-len(x), x)))
 #: Seven digits at least, spelled or not, of which the first is spelled or follows a plus.
 SPELLED = re.compile(rf"(?i)(?<!\w)(?:(?:plus[\s,.-]{{1,3}}|\+\s?)?(?:{NAME}))(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9])(?!\w)|[\s,.-]{{1,3}}(?:dot|point|punkt|punto)(?!\w)){{6,}}")
-#: The same in lower-case text, a little wider and faster: what `disguised` looks for.
-SPELLED_LOW = re.compile(rf"(?<![a-z])(?:{NAME})(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9]|dot|point|punkt|punto)){{6}}")
+#: The same with runs of figures between and after the names; `mixed` counts the digits.
+MIXED = re.compile(rf"(?i)(?<!\w)(?:(?:plus[\s,.-]{{1,3}}|\+\s?)?(?:{NAME}))(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9]++|dot|point|punkt|punto)(?!\w))++")
+#: Both in lower-case text, a little wider and faster: what `disguised` looks for, if it has DIGITS parts at least.
+SPELLED_LOW = re.compile(rf"(?<![a-z])(?:{NAME})(?:[\s,.-]{{1,3}}(?:{NAME}|[0-9]++|dot|point|punkt|punto))++")
 SPELLED_PART = re.compile(rf"(?i)plus|\+|{NAME}|[0-9]|dot|point|punkt|punto")
+DIGITS, FIGURES = 7, re.compile(r"[0-9]{2}")
 OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = re.compile(rf"(?i){OPEN}(?:at|@|arroba)(?:{CLOSE})")
 DOT = re.compile(rf"(?i){OPEN}(?:dot|\.|punkt|point|punto)(?:{CLOSE})")
@@ -115,6 +118,12 @@ class Tape:
     def __init__(self, text: str):
         self.text, self.starts, self.ends = text, [*range(len(text))], [*range(1, len(text) + 1)]
 
+    def copy(self) -> Tape:
+        """A tape of its own; rewrite() puts new lists in place of the old ones."""
+        out = Tape("")
+        out.text, out.starts, out.ends = self.text, self.starts, self.ends
+        return out
+
     def rewrite(self, edits: list[tuple[int, int, str]]) -> None:
         """Puts a string for each range; its characters stand for the range's source. The edits ascend without overlap."""
         out, starts, ends, last = [], [], [], 0
@@ -164,9 +173,23 @@ def signs(tape: Tape) -> None:
     tape.rewrite([(*m.span(), ".") for m in DOTTED.finditer(tape.text)])
 
 
-def digits(tape: Tape) -> None:
+def parts(found: str) -> int:
+    """The names, figures and dots of spelled digits."""
+    return sum(x.lower() not in ("plus", "+") for x in SPELLED_PART.findall(found))
+
+
+def spelled(text: str) -> list[re.Match]:
+    return [*SPELLED.finditer(text)]
+
+
+def mixed(text: str) -> list[re.Match]:
+    """Spelled digits with a run of figures among them."""
+    return [m for m in MIXED.finditer(text) if FIGURES.search(m[0]) and sum(x.isdigit() or x.lower() in VALUE_OF for x in SPELLED_PART.findall(m[0])) >= DIGITS]
+
+
+def digits(tape: Tape, found: list[re.Match]) -> None:
     edits = []
-    for m in SPELLED.finditer(tape.text):
+    for m in found:
         last = m.start()
         for x in SPELLED_PART.finditer(tape.text, m.start(), m.end()):
             if x.start() > last:
@@ -181,7 +204,7 @@ def digits(tape: Tape) -> None:
 
 
 def disguised(text: str) -> bool:
-    if (not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or SPELLED_LOW.search(text.lower()):
+    if (not text.isascii() and ODD.search(text)) or BRACKETED.search(text) or any(parts(m[0]) >= DIGITS for m in SPELLED_LOW.finditer(text.lower())):
         return True
     if "&" in text and ENTITY.search(text):
         return True
@@ -196,15 +219,19 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     if not disguised(text):
         return base, []
     tape = Tape(text)
-    for step in (entities, glyphs, signs, digits, slips):
+    for step in (entities, glyphs, signs):
         step(tape)
-    if tape.text == text:
-        return base, []
     more = []
-    for kind, a, b in detect(tape.text):
-        start, end = tape.starts[a], tape.ends[b - 1]
-        if not any(k == kind and s <= start and end <= e for k, s, e in base):
-            more.append((kind, start, end))
+    # a run of figures may belong to the spelled digits before it or not: the text is read both ways
+    readings = [spelled(tape.text), mixed(tape.text)]
+    for found in readings if readings[1] else readings[:1]:
+        own = tape.copy()
+        digits(own, found)
+        slips(own)
+        for kind, a, b in detect(own.text) if own.text != text else ():
+            span = kind, own.starts[a], own.ends[b - 1]
+            if span not in more and not any(k == kind and s <= span[1] and span[2] <= e for k, s, e in base):
+                more.append(span)
     return base, more
 
 

@@ -185,6 +185,15 @@ def test_disguises(text, kind, part):
     assert (kind, text.index(part), text.index(part) + len(part)) in more, (base, more)
 
 
+@pytest.mark.parametrize("part", ["plus four nine 151 234 5678", "+four nine 151 2345678", "plus four nine one five one 234 five six seven 8", "plus four nine one five one two three four five six seven"])
+@pytest.mark.parametrize("after", [" please", ", 2024 was", ", 20240101 was"])
+def test_spelled_in_part(part, after):
+    text = f"call {part}{after}"
+    _, more = pii.find(text)
+    if after == " please" or part.endswith("seven"):
+        assert ("phone", 5, 5 + len(part)) in more, more
+
+
 @pytest.mark.parametrize("other", ["", " &#64;", " (at)"])
 @pytest.mark.parametrize("part", ["john.doe at example.com", "jane AT mail.example.org", "john_at_example.com", "john-arroba-example.com"])
 def test_written_at_before_a_plain_dot(part, other):
