@@ -21,8 +21,8 @@ from larkspan.llm.common import crc32_mod, whole_text
 from larkspan.llm.features import sums_by_text, word_features, words_of
 
 SIZES, BITS = (2, 3, 4), 16
-#: Most labelled rows of a language to learn from, and most languages, the most frequent ones.
-SAMPLE, LANGUAGES = 250, 64
+#: Most labelled rows of a language to learn from, and of all languages, which share them; each language has one at least.
+SAMPLE, ROWS = 250, 16_000
 CHUNK = 2_000_000
 UNKNOWN = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -238,13 +238,13 @@ class ChainModel:
 
 
 def learn(docs: DataFrame, held_out: tuple[int, int] = (3, 1), sample: int = SAMPLE) -> ChainModel:
-    """Fits on `sample` rows of each language at most, the first by a hash among those whose crc32 isn't held out. Null ids, texts and languages are left out."""
+    """Fits on `sample` rows of each language at most, or an equal share of ROWS, the first by a hash among those whose crc32 isn't held out. Null ids, texts and languages are left out."""
     mod, out = held_out
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (crc32_mod("doc_id", mod) != out)).select("doc_id", "lang", "text")
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    share = min(sample, max(1, ROWS // max(1, known.select("lang").distinct().count())))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").where(F.col("lang").isin(langs)).withColumn("rank", rank).where(F.col("rank") <= sample).select("doc_id", "lang").distinct()
-    # LANGUAGES * sample rows at most
+    chosen = known.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= share).select("doc_id", "lang").distinct()
+    # ROWS rows at most, or one of each language
     got = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     return ChainModel.fit(list(zip(got["text"].to_pylist(), got["lang"].to_pylist(), strict=True)))
 

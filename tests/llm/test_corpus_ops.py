@@ -306,6 +306,16 @@ def test_language_edges_and_switches(spark, documents):
     assert langid.identify_documents(odd.limit(0)).count() == 0
 
 
+def test_language_learns_all(spark, monkeypatch):
+    words = {f"l{k:02}": [f"{a}{chr(97 + k % 26)}{chr(97 + k // 26)}{b}" for a in "bdfg" for b in "aeiou"] for k in range(70)}
+    rows = [(i * 70 + k, " ".join(w), x, None, None) for i in range(6) for k, (x, w) in enumerate(words.items())]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = langid.identify_documents(docs).join(docs, "doc_id").where("lang_pred = lang").select("lang").distinct().count()
+    assert got == 70
+    monkeypatch.setattr(langid, "ROWS", 70)
+    assert langid.learn(docs).langs == sorted(words)
+
+
 # the pipeline
 
 
