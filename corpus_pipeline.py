@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspan.llm import bpe, decontam, linedup, orderdup, quality
-from larkspan.llm.common import cut, fresh, load, whole_text
+from larkspan.llm.common import bounded, cut, fresh, load, whole_text
 from larkspan.llm.queries import tokenizer_path
 
 
@@ -29,6 +29,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
+    bounded(spark)
     return orderdup.keep_one(docs)
 
 
@@ -39,6 +40,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, and the counts and digests of the tokens of each text."""
+    bounded(spark)
     digests, path = fresh(docs, "digests"), tokenizer_path()
     rows = docs.withColumn(digests, bpe.digest_column(whole_text(), path))
     return rows.select("doc_id", "lang", "source", f"{digests}.n_tokens", f"{digests}.ids_sha256", f"{digests}.decoded_sha256")

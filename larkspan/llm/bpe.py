@@ -15,13 +15,17 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.chunks import ChunkEncoder, Memo, plain, slices
+from larkspan.llm.chunks import ChunkEncoder, gather, plain, slices
 from larkspan.llm.common import whole_text
 
 # The pre-tokenizer's published pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Pre-tokens whose ids are kept, and their longest.
+MEMO, MEMO_LENGTH = 50_000, 24
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next one from 256 on."""
     shown = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
@@ -50,7 +54,12 @@ class BytePairCoder:
         self.merges = {v[a] << 32 | v[b]: (rank, v[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.splits = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.memo = Memo(300_000)
+        self.memo: dict[str, bytes] = {}
+        # all vocabulary strings one after the other; an id without one has no bytes
+        size = max(self.strings, default=-1) + 1
+        coded = [self.strings.get(i, b"") for i in range(size)]
+        self.lens = np.fromiter(map(len, coded), np.int64, size)
+        self.starts, self.pool = np.cumsum(self.lens) - self.lens, np.frombuffer(b"".join(coded), np.uint8)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token. The queue holds (rank, position, left id, right id); an entry whose symbols have changed since is stale and skipped."""
@@ -78,13 +87,17 @@ class BytePairCoder:
 
     def plain_bytes(self, text: str) -> bytes:
         """Packed ids of a text in which special tokens are ordinary text."""
-        parts = self.splits.findall(text)
-        found = self.memo.get(parts)
-        for i, v in enumerate(found):
+        found, memo = [], self.memo
+        for part in self.splits.findall(text):
+            v = memo.get(part)
             if v is None:
-                ids = self.merge(parts[i].encode())
-                found[i] = v = struct.pack(f"<{len(ids)}I", *ids)
-                self.memo.put(((parts[i], v),))
+                ids = self.merge(part.encode())
+                v = struct.pack(f"<{len(ids)}I", *ids)
+                if len(part) <= MEMO_LENGTH:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    memo[part] = v
+            found.append(v)
         return b"".join(found)
 
     def encode_bytes(self, text: str) -> bytes:
@@ -100,9 +113,20 @@ class BytePairCoder:
     def encode_many(self, texts: list[str]) -> list[bytes]:
         return [self.encode_bytes(t) for t in texts]
 
+    def decode_many(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[str]:
+        """The texts of runs of ids: concatenated vocabulary strings, in which bytes that aren't UTF-8 become replacement characters."""
+        if len(ids) and int(ids.max()) >= len(self.lens):
+            raise IndexError(int(ids.max()))
+        lens = self.lens[ids]
+        data, ends = gather(self.pool, self.starts[ids], lens).tobytes(), np.concatenate([[0], np.cumsum(lens)])
+        last = 0
+        for end in np.cumsum(counts).tolist():
+            yield data[ends[last] : ends[end]].decode("utf-8", "replace")
+            last = end
+
     def decode(self, ids) -> str:
-        """Concatenates vocabulary strings; bytes that aren't UTF-8 become replacement characters."""
-        return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        return next(self.decode_many(ids, np.array([len(ids)])))
 
 
 @lru_cache(maxsize=2)
@@ -132,7 +156,7 @@ def decode_column(ids: Column, path: str) -> Column:
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe, _ = coder(path)
         for arrays in batches:
-            yield pa.array([None if x is None else bpe.decode(x) for x in arrays.to_pylist()], pa.string())
+            yield pa.array([None if x.as_py() is None else bpe.decode(x.values.to_numpy()) for x in arrays], pa.string())
 
     return text_of(ids)
 
@@ -148,11 +172,10 @@ def digest_column(text: Column, path: str) -> Column:
             for part in slices(plain(texts)):
                 counts, ids = encode(part)
                 last = 0
-                for end in np.cumsum(counts).tolist():
-                    own = ids[last:end]
+                for end, text in zip(np.cumsum(counts).tolist(), bpe.decode_many(ids, counts), strict=True):
                     n.append(end - last)
-                    a.append(hashlib.sha256(own.tobytes()).hexdigest())
-                    b.append(hashlib.sha256(bpe.decode(own.tolist()).encode("utf-8", "surrogatepass")).hexdigest())
+                    a.append(hashlib.sha256(ids[last:end].tobytes()).hexdigest())
+                    b.append(hashlib.sha256(text.encode()).hexdigest())
                     last = end
             yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -9,8 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of a batch that goes to a Python worker, so that a worker's memory doesn't grow with the texts.
+BATCH = "4m"
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """`spark` with Arrow batches of BATCH, unless the session sets its own size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, BATCH)
+    return spark
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -23,7 +23,7 @@ from larkspan.llm.features import sums_by_text, word_features, words_of
 SIZES, BITS = (2, 3, 4), 16
 #: Most labelled rows of a language to learn from, and of all languages, which share them; each language has one at least.
 SAMPLE, ROWS = 250, 16_000
-CHUNK = 2_000_000
+CHUNK = 500_000
 UNKNOWN = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 

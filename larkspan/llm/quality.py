@@ -17,7 +17,7 @@ from larkspan.llm.features import sums_by_text, word_features, words_of
 SIZES, BITS, DIM = (3, 4, 5), 17, 10
 #: Most labelled rows to learn from.
 SAMPLE = 2000
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 
 #: A word bigram that comes back within LAG words is one more feature, of bucket REPEAT, that counts REPEAT_WEIGHT times.

@@ -35,13 +35,13 @@ WIDTHS = (8, 8, 16)
 
 def pack(ids: np.ndarray, widths: tuple[int, ...] = WIDTHS) -> bytes:
     """Unsigned 32-bit ids to codes. widths: the bits of each level, 8, 16 or 32; together 32 at least."""
-    rest = np.ascontiguousarray(ids, np.uint32).astype(np.uint64)
+    rest = np.ascontiguousarray(ids, np.uint32)
     out, used = [], 0
     for k, bits in enumerate(widths):
         if k == len(widths) - 1 and int(rest.max(initial=0)) >> bits:
             raise ValueError("ids exceed the levels")
-        chunks = (rest & np.uint64((1 << bits) - 1)).astype(f"<u{bits // 8}").tobytes()
-        more = rest >> np.uint64(bits)
+        chunks = rest.astype(f"<u{bits // 8}").tobytes()  # the low bits
+        more = rest >> np.uint32(bits) if bits < 32 else np.zeros_like(rest)
         on = more != 0
         bitmap = np.packbits(on, bitorder="little").tobytes()
         ones = np.add.reduceat(on, np.arange(0, len(on), BLOCK), dtype=np.int64) if len(on) else np.zeros(0, np.int64)
@@ -101,11 +101,11 @@ class Codes:
     def slice(self, a: int, b: int) -> np.ndarray:
         """Ids a to b, exclusive: on each level they are a run, whose start the directory gives."""
         a, b = max(0, a), min(b, self.n)
-        out, where, shift = np.zeros(max(0, b - a), np.uint64), None, 0
+        out, where, shift = np.zeros(max(0, b - a), np.uint32), None, 0
         for bits, chunks, bitmap, ranks in self.levels:
             if b <= a:
                 break
-            part = chunks[a:b].astype(np.uint64) << np.uint64(shift)
+            part = chunks[a:b].astype(np.uint32) << np.uint32(shift)
             if where is None:
                 out |= part
             else:
@@ -114,7 +114,7 @@ class Codes:
             where = np.flatnonzero(on) if where is None else where[on]
             a = self.rank(bitmap, ranks, a)
             b, shift = a + len(where), shift + bits
-        return out.astype(np.uint32)
+        return out
 
 
 @lru_cache(maxsize=2)
