@@ -1,15 +1,17 @@
 """Near-duplicates by Order MinHash.
 
-A text is its occurrence-labelled k-mers of SHINGLE words. Each of several hash functions samples the two least of them
-and keeps these in text order, so that texts agree in a sketch as their order of k-mers agrees; ROWS sketches make a
-band. Two texts of a band are linked, if the banded alignment of the k-mers confirms a similarity of THRESHOLD: the
-k-mers that align, divided by all of both texts. Classes are the links' components. The texts of a band are compared
-with its most central one first; then all those that are not yet in one component are compared with each other.
+A text is its occurrence-labelled k-mers of SHINGLE words. Each of SKETCHES hash functions samples the two least of them
+and keeps these in text order, so that texts agree in a sketch as their order of k-mers agrees: a measure that follows
+the edit distance. Texts that agree in a sketch share a band. Two texts of a band are linked, if the banded alignment of
+their words confirms a similarity of THRESHOLD: 1 - edits / words of the longer text. Classes are the links' components.
+
+The texts of a band are compared with its most central one first. Those that are not yet in one component are compared
+with each other: at once in a band that has few left, else in pairs of blocks, where the texts' word counts spare the
+alignment of most pairs. No pair of a band is left out: a pair's word counts and lengths bound its edits from below.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
 
@@ -25,12 +27,16 @@ from larkspan.llm.components import components
 from larkspan.llm.features import BASE, SPREAD, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS = 16, 2
+SKETCHES = 32
+#: Words are counted in so many cells of a text's bag; it holds 16-bit numbers.
+BAG_BITS = 6
 #: Links of a representative that are verified together.
 SALT = 256
 #: Pairs left for each text of a shared band at which all are compared at once; above it, further representatives come first.
 PAIRS = 16
-CHUNK = 3_000_000
+#: Texts of a band that are joined to each other; more are compared in blocks of BLOCK.
+FEW, BLOCK = 32, 256
+CHUNK = 1_000_000
 
 
 def stir(x: np.ndarray) -> np.ndarray:
@@ -40,7 +46,7 @@ def stir(x: np.ndarray) -> np.ndarray:
 
 #: Each hash function multiplies by an odd number after an exclusive or.
 with np.errstate(over="ignore"):
-    XOR = stir(stir(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * BASE))
+    XOR = stir(stir(np.arange(1, SKETCHES + 1, dtype=np.uint64) * BASE))
     TIMES = stir(XOR + BASE) | np.uint64(1)
 
 
@@ -55,42 +61,46 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return stir(np.add.reduceat((np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64) + np.uint64(1)) * powers[left - 1], ends - lens))
 
 
-def kmers(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The labelled k-mers of each text in order: one of all words if they are fewer than SHINGLE, none without words."""
+def word_runs(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The hashes of the lower-case words of each text, in order."""
     split, at, offsets = words_of(pc.utf8_lower(texts))
     hashes = word_hashes(split)
     empty = np.array([not w for w in split] or [False])
+    for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+        own = at[a:b]
+        yield hashes[own[~empty[own]]] if len(own) else np.zeros(0, np.uint64)
+
+
+def kmers(words: np.ndarray) -> np.ndarray:
+    """The labelled k-mers of a text in order: one of all words if they are fewer than SHINGLE, none without words."""
+    size = min(SHINGLE, len(words))
+    if not size:
+        return words
+    n = len(words) - size + 1
     with np.errstate(over="ignore"):
-        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            own = at[a:b]
-            own = hashes[own[~empty[own]]] if len(own) else np.zeros(0, np.uint64)
-            size = min(SHINGLE, len(own))
-            if not size:
-                yield own
-                continue
-            n = len(own) - size + 1
-            h = np.full(n, np.uint64(size))
-            for j in range(size):
-                h = h * BASE + own[j : j + n]
-            h = stir(h)
-            order = np.argsort(h, kind="stable")
-            ranked = h[order]
-            same = ranked[1:] == ranked[:-1]
-            if same.any():
-                begins = np.concatenate([[0], np.flatnonzero(~same) + 1])
-                label = np.empty(n, np.uint64)
-                label[order] = (np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))).astype(np.uint64)
-                h = stir(h + label * BASE)
-            yield h
+        h = np.full(n, np.uint64(size))
+        for j in range(size):
+            h = h * BASE + words[j : j + n]
+        h = stir(h)
+        order = np.argsort(h, kind="stable")
+        ranked = h[order]
+        same = ranked[1:] == ranked[:-1]
+        if same.any():
+            begins = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            label = np.empty(n, np.uint64)
+            label[order] = (np.arange(n) - np.repeat(begins, np.diff(np.append(begins, n)))).astype(np.uint64)
+            # a first occurrence keeps its value, also in a text without repeats
+            h = np.where(label > 0, stir(h + label * BASE), h)
+    return h
 
 
 def sketch(own: np.ndarray) -> np.ndarray:
-    """The band values of a text's k-mers."""
+    """The band values of a text's k-mers: one for each hash function, of the two least k-mers in text order."""
     best, where = np.full((len(XOR), 2), np.iinfo(np.uint64).max), np.zeros((len(XOR), 2), np.int64)
     rows = np.arange(len(XOR))
     with np.errstate(over="ignore"):
-        for at in range(0, len(own), 1 << 14):
-            h = (own[None, at : at + (1 << 14)] ^ XOR[:, None]) * TIMES[:, None]
+        for at in range(0, len(own), 1 << 13):
+            h = (own[None, at : at + (1 << 13)] ^ XOR[:, None]) * TIMES[:, None]
             values, places = [best], [where]
             for _ in range(min(2, h.shape[1])):
                 i = h.argmin(1)
@@ -103,51 +113,81 @@ def sketch(own: np.ndarray) -> np.ndarray:
         if len(own) == 1:
             where[:, 1] = where[:, 0]
         where.sort(axis=1)
-        one = stir(own[where[:, 0]] * BASE + own[where[:, 1]])
-        bands = np.arange(BANDS, dtype=np.uint64)
-        for r in range(ROWS):
-            bands = stir(bands * BASE + one[r::ROWS])
-    return bands
+        return stir(rows.astype(np.uint64) * BASE + stir(own[where[:, 0]] * BASE + own[where[:, 1]]))
+
 
+def bag(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each cell by their hash, up to 32,767. One edit changes two of these numbers by one at most."""
+    return np.minimum(np.bincount((words >> np.uint64(64 - BAG_BITS)).astype(np.int64), minlength=1 << BAG_BITS), 32767).astype(np.int16)
 
-def bands_column(text: Column) -> Column:
-    """The number of k-mers and the band values of each text; no values for a text without words."""
 
-    @F.arrow_udf("struct<size: bigint, bands: array<bigint>>")
-    def bands(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def sketch_column(text: Column) -> Column:
+    """The number of words, the band values and the bag of each text; no bands for a text without words."""
+    kinds = [("size", pa.int64()), ("bands", pa.list_(pa.int64())), ("bag", pa.list_(pa.int16()))]
+
+    @F.arrow_udf("struct<size: bigint, bands: array<bigint>, bag: array<smallint>>")
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sizes, rows = [], []
+            sizes, bands, bags = [], [], []
             for part in slices(plain(texts), CHUNK):
-                for own in kmers(part):
-                    sizes.append(len(own))
-                    rows.append(sketch(own).view(np.int64) if len(own) else [])
-            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(rows, pa.list_(pa.int64()))], ["size", "bands"])
-
-    return bands(text)
-
-
-def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Aligned k-mers divided by all of both. Those further apart than a similarity of `threshold` allows are outside the band."""
-    total = len(a) + len(b)
-    if not len(a) or not len(b):
-        return float(not total)
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    inside = np.abs(i - j) <= int(total * (1 - threshold) / (1 + threshold)) + 1
-    i, j = i[inside], j[inside]
-    if len(i) < threshold * (total - len(i)):
-        return len(i) / (total - len(i))
-    run = j[np.argsort(i, kind="stable")]
-    n = len(run)
-    if n and (np.diff(run) < 0).any():
-        ends: list[int] = []
-        for x in run.tolist():
-            k = bisect_left(ends, x)
-            if k == len(ends):
-                ends.append(x)
-            else:
-                ends[k] = x
-        n = len(ends)
-    return n / (total - n)
+                for words in word_runs(part):
+                    sizes.append(len(words))
+                    bands.append(sketch(kmers(words)).view(np.int64) if len(words) else [])
+                    bags.append(bag(words))
+            yield pa.StructArray.from_arrays([pa.array(x, kind) for x, (_, kind) in zip((sizes, bands, bags), kinds, strict=True)], [name for name, _ in kinds])
+
+    return sketched(text)
+
+
+def budget(words: int, threshold: float) -> int:
+    """Edits within the threshold for a longer text of so many words."""
+    return int((1 - threshold) * words + 1e-9)
+
+
+def edits(a: list, b: list, most: int) -> int:
+    """The edit distance of two sequences, or most + 1 if it is over `most`.
+
+    Bit-parallel columns of the band of 2 * most + 1 diagonals: a bit of `up` and `down` says whether a cell is one more
+    or one less than the one above it.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > most:
+        return most + 1
+    n = 0
+    while n < len(b) and a[n] == b[n]:
+        n += 1
+    a, b, n = a[n:], b[n:], 0
+    while n < len(b) and a[-1 - n] == b[-1 - n]:
+        n += 1
+    a, b = a[: len(a) - n], b[: len(b) - n]
+    if not b or not most:
+        return min(len(a), most + 1)
+    # the distance is len(a) at most
+    most, over = min(most, len(a) - 1), min(most + 1, len(a))
+    masks: dict = {}
+    for i, x in enumerate(a):
+        masks[x] = masks.get(x, 0) | 1 << i
+    wide = 2 * most + 2
+    full, top, shift = (1 << wide) - 1, wide - 1, most + 1 - wide
+    up, down, distance, bottom = full >> (wide - most - 1) << (wide - most - 1), 0, most, wide - 2
+    give_up, turn = 2 * most + len(b) - len(a), len(a) - most
+    for i, x in enumerate(b):
+        eq = masks.get(x, 0)
+        at = shift + i
+        eq = (eq >> at if at >= 0 else eq << -at) & full
+        diagonal = (((eq & up) + up) ^ up | eq | down) & full
+        right, left = (down | ~(diagonal | up)) & full, diagonal & up
+        if i < turn:  # the band's lowest diagonal is followed down to the last row, then that row to its end
+            distance += not diagonal >> top
+            if distance > give_up:
+                return over
+        else:
+            distance += (right >> bottom & 1) - (left >> bottom & 1)
+            bottom -= 1
+        diagonal >>= 1
+        up, down = (left | ~(diagonal | right)) & full, diagonal & right
+    return distance if distance <= most else over
 
 
 def similar_column(a: Column, b: Column, threshold: float = THRESHOLD) -> Column:
@@ -157,11 +197,13 @@ def similar_column(a: Column, b: Column, threshold: float = THRESHOLD) -> Column
     def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for left, right in batches:
             out = []
-            for at in range(0, len(left), 256):
-                x, y = plain(left.slice(at, 256)).to_pylist(), plain(right.slice(at, 256)).to_pylist()
+            for at in range(0, len(left), 64):
+                x, y = plain(left.slice(at, 64)).to_pylist(), plain(right.slice(at, 64)).to_pylist()
                 seen = [*dict.fromkeys(x + y)]
-                own = dict(zip(seen, (k for part in slices(pa.array(seen, pa.large_string()), CHUNK) for k in kmers(part)), strict=True))
-                out += [aligned(own[s], own[t], threshold) >= threshold for s, t in zip(x, y, strict=True)]
+                own = dict(zip(seen, (w.tolist() for part in slices(pa.array(seen, pa.large_string()), CHUNK) for w in word_runs(part)), strict=True))
+                for s, t in zip(x, y, strict=True):
+                    most = budget(max(len(own[s]), len(own[t])), threshold)
+                    out.append(edits(own[s], own[t], most) <= most)
             yield pa.array(out, pa.bool_())
 
     return similar(a, b)
@@ -172,17 +214,71 @@ def address(text: Column) -> Column:
 
 
 def text_groups(docs: DataFrame) -> DataFrame:
-    """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, size (of k-mers), bands."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), bands_column(F.col("text")).alias("bands"))
-    same = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
+    """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, size (in words), bands, bag."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), sketch_column(F.col("text")).alias("own"))
+    same = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("own").alias("own"))
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))
     nulls = F.max(F.when(F.col("doc_id").isNull(), F.col("n")))
-    return same.groupBy("node").agg(least.alias("least"), nulls.alias("nulls"), F.sum("n").alias("copies"), F.first("bands").alias("bands")).select("node", F.col("least.doc_id").alias("id"), F.coalesce("least.n", "nulls").alias("twins"), "copies", "bands.size", "bands.bands")
+    return same.groupBy("node").agg(least.alias("least"), nulls.alias("nulls"), F.sum("n").alias("copies"), F.first("own").alias("own")).select("node", F.col("least.doc_id").alias("id"), F.coalesce("least.n", "nulls").alias("twins"), "copies", "own.*")
 
 
 def alike(a: str, b: str, threshold: float) -> Column:
     """Whether texts of these sizes can reach the threshold at all."""
-    return F.least(a, b) / F.greatest(a, b) >= threshold
+    return F.least(a, b) >= F.greatest(a, b) - F.floor((1 - threshold) * F.greatest(a, b) + 1e-9)
+
+
+def possible(pairs: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (node, rep) whose bags and sizes allow the threshold."""
+    own = lambda x: met.select(F.col("node").alias(x), F.col("size").alias(f"{x}_size"), F.col("bag").alias(f"{x}_bag"))
+    both = pairs.join(own("node"), "node").join(own("rep"), "rep")
+    apart = F.aggregate(F.zip_with("node_bag", "rep_bag", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
+    longer = F.greatest("node_size", "rep_size")
+    return both.where(alike("node_size", "rep_size", threshold) & (apart <= 2 * F.floor((1 - threshold) * longer + 1e-9))).select("node", "rep")
+
+
+def near_bags(sizes: np.ndarray, bags: np.ndarray, roots: np.ndarray, lower: np.ndarray, blocks: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, of two blocks or of one, that are of different roots, not both lower, and whose bags and sizes allow the threshold."""
+    found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    mixed = len(np.unique(blocks)) > 1
+    for i in range(len(sizes) - 1):
+        j = np.arange(i + 1, len(sizes))
+        keep = (roots[j] != roots[i]) & ~(lower[j] & lower[i])
+        if mixed:
+            keep &= blocks[j] != blocks[i]
+        longer = np.maximum(sizes[j], sizes[i])
+        most = np.floor((1 - threshold) * longer + 1e-9).astype(np.int64)
+        keep &= np.abs(sizes[j] - sizes[i]) <= most
+        j, most = j[keep], most[keep]
+        j = j[np.abs(bags[j] - bags[i]).sum(1) <= 2 * most]
+        found_i.append(np.full(len(j), i))
+        found_j.append(j)
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def block_pairs(members: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
+    """node, rep: pairs of texts of one band, of different roots, whose bags and sizes allow the threshold.
+
+    Two such texts lie in one cell of sizes or in two neighbouring ones, each 1 / threshold times as wide as the one
+    before; a text goes to its own cell and, as a lower one, to the next. A cell's texts are dealt to blocks, and each
+    pair of blocks is one group of 2 * BLOCK texts or so, however many the band has.
+    """
+    cell = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9) if threshold < 1 else F.col("size")
+    rows = members.withColumn("cell", cell).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select("band", "node", "root", (F.col("cell") + F.col("up")).alias("cell"), (F.col("up") == 1).alias("lower"))
+    number = rows.groupBy("band", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("lower").alias("only_lower")).where("NOT only_lower").drop("only_lower")
+    dealt = rows.join(number, ["band", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "cell", "node", "root", "lower", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    dealt = dealt.join(met.select("node", "size", "bag"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        bags = table["bag"].combine_chunks().flatten().to_numpy().reshape(len(table), -1).astype(np.int32)
+        roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        lower = table["lower"].to_numpy()
+        i, j = near_bags(table["size"].to_numpy(), bags, roots, lower, table["block"].to_numpy(), threshold)
+        node = table["node"].combine_chunks()
+        return pa.table({"node": node.take(pa.array(i)), "rep": node.take(pa.array(j))}, pa.schema([("node", pa.binary()), ("rep", pa.binary())]))
+
+    return dealt.groupBy("band", "cell", "i", "j").applyInArrow(compare, "node binary, rep binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -205,42 +301,55 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
     text, then with the most central one outside the band's largest component, as long as that halves the pairs that are
     left, and at last all pairs of a band whose components differ are compared.
     """
-    rows = groups.select("node", "size", F.explode("bands").alias("band"))
+    rows = groups.select("node", F.explode("bands").alias("band"))
     shared = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
-    met = cut(rows.join(shared, "band").groupBy("node", "size").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands")), "met")
+    weights = rows.join(shared, "band").groupBy("node").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands"))
+    met = cut(weights.join(groups.select("node", "size", "bag"), "node"), "met")
     texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
     texts = cut(texts.join(met.select("node"), "node"), "met-texts")
     members = cut(met.select("node", "size", "weight", F.col("node").alias("root"), F.explode("bands").alias("band")), "members")
     central = F.max(F.struct("weight", "node", "size", "root")).alias("top")
-    reps = cut(members.groupBy("band").agg(central).select("band", "top.*", F.lit(None).cast("binary").alias("largest")), "reps")
-    most, before, last = PAIRS * met.count(), float("inf"), False
+    reps = cut(members.groupBy("band").agg(central).select("band", "top.*"), "reps")
+    most, before = PAIRS * met.count(), float("inf")
     tried, found = [], []
-    while True:
-        other = reps.select("band", "largest", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root")))
-        pairs = members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold))
-        if last:
-            # two texts outside the largest component meet twice
-            pairs = pairs.where((F.col("root") == F.col("largest")) | (F.col("node") < F.col("rep_node")))
-        pairs = pairs.groupBy(F.least("node", "rep_node").alias("x"), F.greatest("node", "rep_node").alias("y")).agg(F.min("rep_node").alias("rep"))
+
+    def compare(pairs: DataFrame) -> None:
+        """Verifies new pairs (node, rep), each once."""
+        pairs = pairs.groupBy(F.least("node", "rep").alias("x"), F.greatest("node", "rep").alias("y")).agg(F.min("rep").alias("rep"))
         for old in tried:
             pairs = pairs.join(old, ["x", "y"], "left_anti")
-        tried.append(cut(pairs, "pairs"))
-        found.append(verified(tried[-1].select(F.when(F.col("rep") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("node"), "rep"), texts, threshold))
+        pairs = cut(pairs, "pairs")
+        tried.append(pairs)
+        maybe = cut(possible(pairs.select(F.when(F.col("rep") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("node"), "rep"), met, threshold), "possible")
+        found.append(verified(maybe, texts, threshold))
+        discard(maybe)
+
+    last = False
+    while True:
+        other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root")))
+        compare(members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold)).select("node", F.col("rep_node").alias("rep")))
         discard(members, reps)
-        if last:
-            break
         roots = components(reduce(DataFrame.union, found))
         members = cut(met.join(roots, "node", "left").select("node", "size", "weight", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band")), "members")
         parts = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
-        mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", "largest.root", "left").withColumnRenamed("root", "largest"), "mixed")
+        total = F.sum("n").cast("double")
+        mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), ((total * total - F.sum(F.col("n").cast("double") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", F.col("largest.root").alias("largest"), "n", "left"), "mixed")
         left = mixed.agg(F.sum("left")).first()[0]
-        if not left:
-            discard(members, mixed)
+        last, before = not left or left <= most or left > before / 2, left
+        if last:
             break
-        last, before = left <= most or left > before / 2, left
         rest = members.join(mixed.select("band", "largest"), "band").where(F.col("root") != F.col("largest"))
-        reps = cut(rest if last else rest.groupBy("band", "largest").agg(central).select("band", "top.*", "largest"), "reps")
+        reps = cut(rest.groupBy("band").agg(central).select("band", "top.*"), "reps")
         discard(mixed)
+    if left:
+        few, many = mixed.where(F.col("n") <= FEW).select("band"), mixed.where(F.col("n") > FEW).select("band")
+        small = members.join(few, "band").select("band", "node", "root", "size")
+        other = small.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "root", "size")))
+        close = small.join(other, "band").where((F.col("node") < F.col("rep_node")) & (F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold)).select("node", F.col("rep_node").alias("rep"))
+        wide = cut(block_pairs(members.join(many, "band").select("band", "node", "root", "size"), met, threshold), "block-pairs")
+        compare(close.union(wide))
+        discard(wide)
+    discard(members, mixed)
     out = cut(reduce(DataFrame.union, found), "near-links")
     discard(shared, met, texts, *tried, *found)
     return out
@@ -251,7 +360,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     groups = cut(text_groups(docs), "text-groups")
     near_links = links(docs, groups, threshold)
     roots = components(near_links)
-    near = groups.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    near = groups.drop("bands", "bag").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # ids before nulls
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "twins"))
     by_root = near.groupBy("root").agg(first.alias("first"), F.sum("copies").alias("class_size"))
@@ -265,14 +374,18 @@ def classify_documents(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """One row per row of `docs`: doc_id, class_id (the least doc_id of its class) and class_size (its rows).
 
     Equal texts share a class; null counts as the empty text, and texts without words are similar only to their copies.
-    A class whose ids are all null has a null class_id.
+    A class whose ids are all null has a null class_id. Rows keep their number, an empty table gives none; texts of any
+    length are compared whole, and columns of `docs` besides doc_id and text are ignored.
     """
     rows = docs.select("doc_id", address(whole_text()).alias("node"))
     return rows.join(classes(docs, threshold), "node").select("doc_id", "class_id", "class_size")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with one row of each class, of the least doc_id and its text; of rows that tie in both, the first by all columns' hash."""
+    """`docs` with one row of each class, of the least doc_id and its text; of rows that tie in both, the first by all columns' hash.
+
+    Null texts count as empty. All columns of `docs` are kept, whatever their names; an empty table stays empty.
+    """
     node, id_, keeper, twins = (fresh(docs, x) for x in ("near_node", "near_id", "near_keeper", "near_twins"))
     firsts = classes(docs, threshold).where(F.col("node") == F.col("keeper")).select(F.col("node").alias(node), F.col("class_id").alias(id_), F.col("twins").alias(twins))
     rows = docs.withColumn(node, address(whole_text())).join(firsts, node).where(F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_)))

@@ -161,37 +161,65 @@ def test_line_edges(spark):
 # op7
 
 
-def plain_kmers(text):
-    words, seen, out = text.lower().split(), Counter(), []
-    for i in range(len(words) - min(5, len(words)) + 1 if words else 0):
-        k = tuple(words[i : i + 5])
-        out.append((k, seen[k]))
-        seen[k] += 1
-    return out
+def plain_grams(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def plain_similarity(a, b):
-    """Longest common subsequence of labelled k-mers, divided by all of both."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        new = [0]
-        for j, y in enumerate(b):
-            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+def plain_edits(a, b):
+    row = [*range(len(b) + 1)]
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
         row = new
-    total = len(a) + len(b)
-    return row[-1] / (total - row[-1]) if total else 1.0
+    return row[-1]
+
+
+def fast_edits(a, b):
+    """The same by numpy rows, for longer texts."""
+    codes = {}
+    a, b = (np.array([codes.setdefault(w, len(codes)) for w in x], int) for x in (a, b))
+    place = np.arange(len(b) + 1)
+    row = place
+    for i, x in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (b != x))])
+        row = np.minimum.accumulate(new - place) + place
+    return int(row[-1])
+
+
+def plainly_near(a, b):
+    """Of two word lists: 1 - edits / words of the longer one is 0.8 at least."""
+    longer = max(len(a), len(b))
+    bags = Counter(a), Counter(b)
+    if longer - sum((bags[0] & bags[1]).values()) > 0.2 * longer + 1e-9:
+        return False  # each word of the longer text that the other lacks is an edit
+    return fast_edits(a, b) <= 0.2 * longer + 1e-9
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=14), st.lists(st.integers(0, 3), max_size=14), st.integers(0, 9))
+def test_banded_alignment(a, b, most):
+    want = plain_edits(a, b)
+    assert orderdup.edits(a, b, most) == min(want, most + 1) and fast_edits(a, b) == want
 
 
-def test_aligned_similarity():
-    rng = random.Random(3)
-    for _ in range(60):
-        a = [rng.choice("abcdefghij") * 3 for _ in range(rng.randint(0, 80))]
-        b = [w if rng.random() > 0.03 else "zz" for w in a]
-        texts = [" ".join(a), " ".join(b)]
-        x, y = orderdup.kmers(pa.array(texts, pa.large_string()))
-        want = plain_similarity(*map(plain_kmers, texts))
-        got = orderdup.aligned(x, y)
-        assert (got >= 0.8) == (want >= 0.8) and (want < 0.8 or abs(got - want) < 1e-12)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=60), st.data())
+def test_banded_alignment_of_copies(a, data):
+    b = list(a)
+    for _ in range(data.draw(st.integers(0, 12))):
+        at = data.draw(st.integers(0, len(b)))
+        b[at : at + data.draw(st.integers(0, 2))] = [data.draw(st.integers(0, 300))] * data.draw(st.integers(0, 2))
+    for most in (0, 1, 5, 12, 40):
+        assert orderdup.edits(a, b, most) == min(plain_edits(a, b), most + 1)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), max_size=40), st.lists(st.integers(0, 2**64 - 1), max_size=40))
+def test_bags_bound_edits(a, b):
+    x, y = (orderdup.bag(np.array(w, np.uint64)).astype(int) for w in (a, b))
+    assert np.abs(x - y).sum() <= 2 * plain_edits(a, b)
 
 
 def components_of(nodes, pairs):
@@ -210,13 +238,13 @@ def components_of(nodes, pairs):
 
 def test_near_classes(spark, documents):
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
-    grams = {i: plain_kmers(t) for i, t in texts.items()}
+    words = {i: t.lower().split() for i, t in texts.items()}
     by_gram = defaultdict(list)
-    for i, g in grams.items():
-        for k in g:
+    for i, t in texts.items():
+        for k in plain_grams(t):
             by_gram[k].append(i)
-    shared = Counter((a, b) for ids in by_gram.values() if len(ids) > 1 for x, a in enumerate(ids) for b in ids[x + 1 :])
-    near = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (len(grams[a]) + len(grams[b]) - n) and plain_similarity(grams[a], grams[b]) >= 0.8]
+    shared = {(a, b) for ids in by_gram.values() for x, a in enumerate(ids) for b in ids[x + 1 :]}
+    near = [(a, b) for a, b in shared if plainly_near(words[a], words[b])]
     want = components_of(texts, near)
     got = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in QUERIES["op7_near_dedup"](spark, SF01).collect()}
     assert {i: c for i, (c, _) in got.items()} == want
@@ -225,28 +253,52 @@ def test_near_classes(spark, documents):
     assert {r["doc_id"] for r in orderdup.keep_one(documents).collect()} == set(want.values())
 
 
-@pytest.mark.parametrize("pairs", [orderdup.PAIRS, 0])
-def test_near_stars(spark, monkeypatch, pairs):
-    """Copies that are near to their original, but not to each other; each group has two originals that share a half."""
+def test_labels_of_repeats():
+    """A k-mer's first occurrence is the same in a text without repeats."""
+    once, twice = orderdup.word_runs(pa.array(["a b c d e f g", "a b c d e f g a b c d e f g"], pa.large_string()))
+    once, twice = orderdup.kmers(once), orderdup.kmers(twice)
+    assert len(set(twice.tolist())) == 10 and set(once.tolist()) < set(twice.tolist())
+
+
+def near_groups(texts):
+    """Classes by comparing all texts that share a band."""
+    words = [t.split() for t in texts]
+    bands = [set(orderdup.sketch(orderdup.kmers(w)).tolist()) for w in orderdup.word_runs(pa.array(texts, pa.large_string()))]
+    by_band = defaultdict(list)
+    for i, own in enumerate(bands):
+        for b in own:
+            by_band[b].append(i)
+    pairs = {(i, j) for own in by_band.values() for x, i in enumerate(own) for j in own[x + 1 :]}
+    return components_of(range(len(texts)), [(i, j) for i, j in pairs if plainly_near(words[i], words[j])])
+
+
+@pytest.mark.parametrize(("pairs", "few", "block"), [(orderdup.PAIRS, orderdup.FEW, orderdup.BLOCK), (0, 4, 8), (1 << 30, 4, 8), (1 << 30, 1 << 30, 8)])
+def test_near_crowds(spark, monkeypatch, pairs, few, block):
+    """Copies that are near to their original, but not to each other, and texts that share a template and are copied again."""
     monkeypatch.setattr(orderdup, "PAIRS", pairs)
+    monkeypatch.setattr(orderdup, "FEW", few)
+    monkeypatch.setattr(orderdup, "BLOCK", block)
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+
+    def changed(base, n):
+        copy = list(base)
+        for i in rng.sample(range(len(base)), n):
+            copy[i] = word()
+        return copy
+
     texts = []
-    for n in (200, 60):
+    for n in (120, 40):
         first = [word() for _ in range(200)]
-        second = first[:150] + [word() for _ in range(50)]
-        for base in (first, second):
-            texts.append(" ".join(base))
-            for _ in range(n):
-                copy = list(base)
-                for i in rng.sample(range(5, 195), 4):
-                    copy[i] = word()
-                texts.append(" ".join(copy))
-    own = list(orderdup.kmers(pa.array(texts, pa.large_string())))
-    bands = [set(orderdup.sketch(k).tolist()) for k in own]
-    near = [(i, j) for i in range(len(texts)) for j in range(i) if bands[i] & bands[j] and orderdup.aligned(own[i], own[j]) >= 0.8]
-    want = components_of(range(len(texts)), near)
-    assert sorted(Counter(want.values()).values())[-4:] == [61, 61, 201, 201]
+        for base in (first, first[:150] + [word() for _ in range(50)]):
+            texts += [base, *(changed(base, 24) for _ in range(n))]
+    template = [word() for _ in range(190)]
+    for _ in range(80):  # half of each is its own
+        own = template[:95] + [word() for _ in range(95)]
+        texts += [own] + [changed(own, 6)] * (rng.random() < 0.3)
+    texts = [" ".join(t) for t in texts]
+    want = near_groups(texts)
+    assert max(Counter(want.values()).values()) > 100
     docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
     assert {r["doc_id"]: r["class_id"] for r in orderdup.classify_documents(docs).collect()} == want
 
