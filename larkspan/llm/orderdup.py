@@ -28,14 +28,18 @@ from larkspan.llm.features import BASE, SPREAD, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
 SKETCHES = 32
-#: Words are counted in so many cells of a text's bag; it holds 16-bit numbers.
-BAG_BITS = 6
+#: Words are counted in 1 << BAG_BITS cells of a text's bag, a byte each.
+BAG_BITS = 8
 #: Links of a representative that are verified together.
 SALT = 256
 #: Pairs left for each text of a shared band at which all are compared at once; above it, further representatives come first.
 PAIRS = 16
 #: Texts of a band that are joined to each other; more are compared in blocks of BLOCK.
-FEW, BLOCK = 32, 256
+FEW, BLOCK = 32, 1024
+#: Pairs that a text gives at most in each of DEALS rounds in which it meets the others of its block.
+NEAREST, DEALS = 4, 2
+#: Words of a block's texts, or one text.
+WORDS = 1_000_000
 CHUNK = 1_000_000
 
 
@@ -117,15 +121,20 @@ def sketch(own: np.ndarray) -> np.ndarray:
 
 
 def bag(words: np.ndarray) -> np.ndarray:
-    """How many words fall into each cell by their hash, up to 32,767. One edit changes two of these numbers by one at most."""
-    return np.minimum(np.bincount((words >> np.uint64(64 - BAG_BITS)).astype(np.int64), minlength=1 << BAG_BITS), 32767).astype(np.int16)
+    """How many words fall into each cell by their hash, up to 255. One edit changes two of these numbers by one at most."""
+    return np.minimum(np.bincount((words >> np.uint64(64 - BAG_BITS)).astype(np.int64), minlength=1 << BAG_BITS), 255).astype(np.uint8)
+
+
+def bag_rows(bags: pa.Array) -> np.ndarray:
+    """A row for each of the packed bags, in numbers whose differences don't overflow."""
+    return np.frombuffer(b"".join(bags.to_pylist()), np.uint8).reshape(len(bags), 1 << BAG_BITS).astype(np.int16)
 
 
 def sketch_column(text: Column) -> Column:
     """The number of words, the band values and the bag of each text; no bands for a text without words."""
-    kinds = [("size", pa.int64()), ("bands", pa.list_(pa.int64())), ("bag", pa.list_(pa.int16()))]
+    kinds = [("size", pa.int64()), ("bands", pa.list_(pa.int64())), ("bag", pa.binary())]
 
-    @F.arrow_udf("struct<size: bigint, bands: array<bigint>, bag: array<smallint>>")
+    @F.arrow_udf("struct<size: bigint, bands: array<bigint>, bag: binary>")
     def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             sizes, bands, bags = [], [], []
@@ -133,7 +142,7 @@ def sketch_column(text: Column) -> Column:
                 for words in word_runs(part):
                     sizes.append(len(words))
                     bands.append(sketch(kmers(words)).view(np.int64) if len(words) else [])
-                    bags.append(bag(words))
+                    bags.append(bag(words).tobytes())
             yield pa.StructArray.from_arrays([pa.array(x, kind) for x, (_, kind) in zip((sizes, bands, bags), kinds, strict=True)], [name for name, _ in kinds])
 
     return sketched(text)
@@ -229,56 +238,118 @@ def alike(a: str, b: str, threshold: float) -> Column:
 
 def possible(pairs: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
     """The pairs (node, rep) whose bags and sizes allow the threshold."""
+
+    @F.arrow_udf("boolean")
+    def allowed(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b, longer in batches:
+            out = [np.zeros(0, bool)]
+            for at in range(0, len(a), 4096):
+                most = np.floor((1 - threshold) * longer.slice(at, 4096).to_numpy(zero_copy_only=False) + 1e-9)
+                out.append(np.abs(bag_rows(a.slice(at, 4096)) - bag_rows(b.slice(at, 4096))).sum(1, dtype=np.int64) <= 2 * most)
+            yield pa.array(np.concatenate(out))
+
     own = lambda x: met.select(F.col("node").alias(x), F.col("size").alias(f"{x}_size"), F.col("bag").alias(f"{x}_bag"))
-    both = pairs.join(own("node"), "node").join(own("rep"), "rep")
-    apart = F.aggregate(F.zip_with("node_bag", "rep_bag", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
-    longer = F.greatest("node_size", "rep_size")
-    return both.where(alike("node_size", "rep_size", threshold) & (apart <= 2 * F.floor((1 - threshold) * longer + 1e-9))).select("node", "rep")
+    both = pairs.join(own("node"), "node").join(own("rep"), "rep").where(alike("node_size", "rep_size", threshold))
+    return both.where(allowed(F.col("node_bag"), F.col("rep_bag"), F.greatest("node_size", "rep_size"))).select("node", "rep")
 
 
-def near_bags(sizes: np.ndarray, bags: np.ndarray, roots: np.ndarray, lower: np.ndarray, blocks: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows, of two blocks or of one, that are of different roots, not both lower, and whose bags and sizes allow the threshold."""
+def near_bags(sizes: np.ndarray, bags: np.ndarray, roots: np.ndarray, lower: np.ndarray, blocks: np.ndarray, threshold: float, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows, of two blocks or of one, that are of different roots, not both lower, and whose bags and sizes allow the threshold. nearest: only so many for each row, by their bags."""
     found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     mixed = len(np.unique(blocks)) > 1
+    coarse = bags.reshape(len(bags), -1, 8).sum(2)  # bounds too, and sooner
     for i in range(len(sizes) - 1):
         j = np.arange(i + 1, len(sizes))
         keep = (roots[j] != roots[i]) & ~(lower[j] & lower[i])
         if mixed:
             keep &= blocks[j] != blocks[i]
-        longer = np.maximum(sizes[j], sizes[i])
-        most = np.floor((1 - threshold) * longer + 1e-9).astype(np.int64)
+        most = np.floor((1 - threshold) * np.maximum(sizes[j], sizes[i]) + 1e-9).astype(np.int64)
         keep &= np.abs(sizes[j] - sizes[i]) <= most
-        j, most = j[keep], most[keep]
-        j = j[np.abs(bags[j] - bags[i]).sum(1) <= 2 * most]
+        for own in (coarse, bags):
+            j, most = j[keep], most[keep]
+            apart = np.abs(own[j] - own[i]).sum(1)
+            keep = apart <= 2 * most
+        if nearest is not None and keep.sum() > nearest:
+            j, keep = j[keep][np.argsort(apart[keep], kind="stable")[:nearest]], slice(None)
+        j = j[keep]
         found_i.append(np.full(len(j), i))
         found_j.append(j)
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def block_pairs(members: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
-    """node, rep: pairs of texts of one band, of different roots, whose bags and sizes allow the threshold.
+def block_pairs(members: DataFrame, met: DataFrame, threshold: float, deal: int | None = None) -> DataFrame:
+    """band, cell, i, j (a group of texts), node, root, reps: texts of one band and of different roots whose bags and sizes allow the threshold. Texts that are only among the reps have a row, too.
 
     Two such texts lie in one cell of sizes or in two neighbouring ones, each 1 / threshold times as wide as the one
-    before; a text goes to its own cell and, as a lower one, to the next. A cell's texts are dealt to blocks, and each
-    pair of blocks is one group of 2 * BLOCK texts or so, however many the band has.
+    before; a text goes to its own cell and, as a lower one, to the next. A cell's texts are dealt to blocks of BLOCK
+    texts and WORDS words or so. With `deal`, a number that shuffles them, each text meets those of its block and gives
+    NEAREST pairs at most. Without it, each block of texts outside the band's largest component meets all blocks, and
+    gives all its pairs.
     """
     cell = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9) if threshold < 1 else F.col("size")
-    rows = members.withColumn("cell", cell).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).select("band", "node", "root", (F.col("cell") + F.col("up")).alias("cell"), (F.col("up") == 1).alias("lower"))
-    number = rows.groupBy("band", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("lower").alias("only_lower")).where("NOT only_lower").drop("only_lower")
-    dealt = rows.join(number, ["band", "cell"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("band", "cell", "node", "root", "lower", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    dealt = dealt.join(met.select("node", "size", "bag"), "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        bags = table["bag"].combine_chunks().flatten().to_numpy().reshape(len(table), -1).astype(np.int32)
+    rows = members.withColumn("cell", cell).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = rows.select("band", "node", "size", (F.col("cell") + F.col("up")).alias("cell"), (F.col("up") == 1).alias("lower"), (F.lit(deal is None) & (F.col("root") != F.col("largest"))).alias("out"))
+
+    def blocks(which: Column) -> Column:
+        return F.ceil(F.greatest(F.count(F.when(which, 1)) / BLOCK, F.coalesce(F.sum(F.when(which, F.col("size"))), F.lit(0)) / WORDS)).cast("int")
+
+    number = rows.groupBy("band", "cell").agg(blocks(F.col("out")).alias("outer"), blocks(~F.col("out")).alias("inner"), F.min("lower").alias("only_lower")).where("NOT only_lower" + (" AND outer > 0" if deal is None else "")).drop("only_lower")
+    own = lambda n: F.pmod(F.xxhash64("node", F.lit(deal or 0)), F.col(n)).cast("int")
+    dealt = rows.drop("size").join(number, ["band", "cell"]).withColumn("block", F.when(F.col("out"), own("outer")).otherwise(F.col("outer") + own("inner")))
+    if deal is None:
+        last = F.col("outer") + F.when(F.col("out"), F.col("inner")).otherwise(0) - 1
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    else:
+        dealt = dealt.withColumn("other", F.col("block"))
+    dealt = dealt.select("band", "cell", "node", "lower", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    # a text has SKETCHES bands at most
+    own = members.groupBy("node", "root").agg(F.collect_list("band").alias("crowded"))
+    dealt = dealt.join(own, "node").join(met.select("node", "size", "bag"), "node")
+    nearest = None if deal is None else NEAREST
+    kinds = pa.schema([("band", pa.int64()), ("cell", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.binary()), ("root", pa.binary()), ("reps", pa.list_(pa.binary()))])
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
         roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
-        lower = table["lower"].to_numpy()
-        i, j = near_bags(table["size"].to_numpy(), bags, roots, lower, table["block"].to_numpy(), threshold)
-        node = table["node"].combine_chunks()
-        return pa.table({"node": node.take(pa.array(i)), "rep": node.take(pa.array(j))}, pa.schema([("node", pa.binary()), ("rep", pa.binary())]))
-
-    return dealt.groupBy("band", "cell", "i", "j").applyInArrow(compare, "node binary, rep binary")
+        x, y = near_bags(table["size"].to_numpy(), bag_rows(table["bag"].combine_chunks()), roots, table["lower"].to_numpy(), table["block"].to_numpy(), threshold, nearest)
+        # of all pairs, one that shares several bands counts in the least of them
+        crowded, band = [set(c) for c in table["crowded"].to_pylist()], key[0].as_py()
+        first = np.array([nearest is not None or min(crowded[i] & crowded[j]) == band for i, j in zip(x.tolist(), y.tolist(), strict=True)], bool)
+        x, y = x[first], y[first]
+        rows, node = np.union1d(x, y), table["node"].combine_chunks()
+        ends = np.concatenate([[0], np.searchsorted(x, rows, "right")])  # x ascends
+        reps = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), node.take(pa.array(y)))
+        return pa.Table.from_arrays([*(pa.array([k.as_py()] * len(rows), f.type) for k, f in zip(key, kinds, strict=False)), node.take(pa.array(rows)), table["root"].combine_chunks().take(pa.array(rows)), reps], schema=kinds)
+
+    return dealt.groupBy("band", "cell", "i", "j").applyInArrow(compare, "band bigint, cell bigint, i int, j int, node binary, root binary, reps array<binary>")
+
+
+def block_links(groups: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """a, b: the verified links among the pairs of block_pairs(); within a group, no pair of texts that its other links have brought together."""
+
+    def align(table: pa.Table) -> pa.Table:
+        nodes, roots = table["node"].to_pylist(), table["root"].to_pylist()
+        words: dict = {}
+        for part in slices(plain(table["text"]), CHUNK):
+            for w in word_runs(part):
+                words[nodes[len(words)]] = w.tolist()
+        above = {r: r for r in roots}
+        root_of, found = dict(zip(nodes, roots, strict=True)), []
+
+        def top(r: bytes) -> bytes:
+            while above[r] != r:
+                above[r] = r = above[above[r]]
+            return r
+
+        for a, reps in zip(nodes, table["reps"].to_pylist(), strict=True):
+            for b in reps:
+                x, y = top(root_of[a]), top(root_of[b])
+                most = budget(max(len(words[a]), len(words[b])), threshold)
+                if x != y and edits(words[a], words[b], most) <= most:
+                    above[x] = y
+                    found.append((a, b))
+        return pa.table({"a": [a for a, _ in found], "b": [b for _, b in found]}, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+    return groups.join(texts, "node").groupBy("band", "cell", "i", "j").applyInArrow(align, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -297,9 +368,11 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b: verified links of distinct texts. Two texts of a band are in one component of them, or were compared.
 
-    A text is the more central, the more texts its bands have. The others of a band are compared with its most central
-    text, then with the most central one outside the band's largest component, as long as that halves the pairs that are
-    left, and at last all pairs of a band whose components differ are compared.
+    A text is the more central, the more texts its bands have. A band's representative is its most central text, later
+    the most central one outside the band's largest component. In a round each text is compared with one of its bands'
+    representatives: the most central, then by turns the least central or the most. Rounds go on as long as they halve
+    the pairs that are left. The texts of crowded bands are then compared with the nearest of their block by their bags,
+    so that most come into one component; at last all pairs of a band whose components differ are compared.
     """
     rows = groups.select("node", F.explode("bands").alias("band"))
     shared = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
@@ -324,30 +397,42 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
         found.append(verified(maybe, texts, threshold))
         discard(maybe)
 
-    last = False
-    while True:
-        other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root")))
-        compare(members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold)).select("node", F.col("rep_node").alias("rep")))
-        discard(members, reps)
-        roots = components(reduce(DataFrame.union, found))
-        members = cut(met.join(roots, "node", "left").select("node", "size", "weight", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band")), "members")
-        parts = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
+    def spread(roots: DataFrame) -> tuple[DataFrame, DataFrame, float]:
+        """The members with their components, the bands that hold several, and the pairs of different components in these."""
+        own = cut(met.join(roots, "node", "left").select("node", "size", "weight", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band")), "members")
+        parts = own.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
         total = F.sum("n").cast("double")
         mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), ((total * total - F.sum(F.col("n").cast("double") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", F.col("largest.root").alias("largest"), "n", "left"), "mixed")
-        left = mixed.agg(F.sum("left")).first()[0]
-        last, before = not left or left <= most or left > before / 2, left
-        if last:
-            break
-        rest = members.join(mixed.select("band", "largest"), "band").where(F.col("root") != F.col("largest"))
-        reps = cut(rest.groupBy("band").agg(central).select("band", "top.*"), "reps")
-        discard(mixed)
-    if left:
-        few, many = mixed.where(F.col("n") <= FEW).select("band"), mixed.where(F.col("n") > FEW).select("band")
-        small = members.join(few, "band").select("band", "node", "root", "size")
+        return own, mixed, mixed.agg(F.sum("left")).first()[0] or 0
+
+    last, turn = False, 0
+    while not last:
+        other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root", "weight")))
+        near = members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold))
+        pick = (F.max if turn % 2 == 0 else F.min)(F.struct("rep_weight", "rep_node"))
+        compare(near.groupBy("node").agg(pick.alias("rep")).select("node", F.col("rep.rep_node").alias("rep")))
+        discard(members, reps)
+        members, mixed, left = spread(components(reduce(DataFrame.union, found)))
+        last, before, turn = left <= most or left > before / 2, left, turn + 1
+        if not last:
+            rest = members.join(mixed.select("band", "largest"), "band").where(F.col("root") != F.col("largest"))
+            reps = cut(rest.groupBy("band").agg(central).select("band", "top.*"), "reps")
+            discard(mixed)
+    for deal in (*range(1, DEALS + 1), None):
+        many = members.join(mixed.where(F.col("n") > FEW).select("band", "largest"), "band").select("band", "node", "root", "size", "largest")
+        if deal and left <= most:
+            continue
+        wide = cut(block_pairs(many, met, threshold, deal), "block-pairs")
+        if deal:
+            compare(wide.select("node", F.explode("reps").alias("rep")))
+            discard(members, mixed, wide)
+            members, mixed, left = spread(components(reduce(DataFrame.union, found)))
+            continue
+        small = members.join(mixed.where(F.col("n") <= FEW).select("band"), "band").select("band", "node", "root", "size")
         other = small.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "root", "size")))
         close = small.join(other, "band").where((F.col("node") < F.col("rep_node")) & (F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold)).select("node", F.col("rep_node").alias("rep"))
-        wide = cut(block_pairs(members.join(many, "band").select("band", "node", "root", "size"), met, threshold), "block-pairs")
-        compare(close.union(wide))
+        compare(close)
+        found.append(cut(block_links(wide, texts, threshold), "near-links"))
         discard(wide)
     discard(members, mixed)
     out = cut(reduce(DataFrame.union, found), "near-links")
