@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.chunks import plain
+from larkspan.llm.chunks import plain, slices
 from larkspan.llm.common import whole_text
 
 KINDS = ("email", "ip", "card", "phone")
@@ -98,11 +98,15 @@ OPEN, CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 AT = re.compile(rf"(?i){OPEN}(?:at|@|arroba)(?:{CLOSE})")
 DOT = re.compile(rf"(?i){OPEN}(?:dot|\.|punkt|point|punto)(?:{CLOSE})")
 BRACKETED = re.compile(r"(?i)[(\[{<]\s{0,3}(?:at|@|arroba|dot|\.|punkt|point|punto)\s{0,3}[)\]}>]")
-#: A bare number or address of figures after the word "at", and a domain that runs on to an @, are prose.
-WRITTEN = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+?(?:[ _-]dot[ _-][a-z0-9_%+-]+?)*(?:[ _-](?:at|arroba)[ _-](?![0-9]+(?:\.[0-9]+)+(?![\w-]|\.\w))| @ |@)[a-z0-9-]+?(?:(?:[ _-](?:dot|punkt|punto)[ _-]| \. |\.)[a-z0-9-]+)+(?!\w|@\w)")
+#: The signs between a written-out local part and its domain. A bare number or address of figures after the word "at" is prose.
+SIGN = re.compile(r"(?i)[ _-](?:at|arroba)[ _-](?![0-9]++(?:\.[0-9]++)++(?![\w-]|\.\w))| @ |@")
+#: A label ends where a written-out sign begins, so that no text can be read in two ways.
+LABEL = re.compile(r"(?i)(?:(?!-(?:dot|punkt|punto|at|arroba)[ _-])[a-z0-9-])++")
+BETWEEN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| \. |\.")
+AFTER = re.compile(r"\w|@\w")
 WRITTEN_PART = re.compile(r"(?i)[ _-](at|arroba|dot|punkt|punto)[ _-]| ([@.]) ")
-#: What `disguised` looks for before the costlier WRITTEN: all that WRITTEN can change holds it.
-WORD_SIGN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| @ | \. |[ _-](?:at|arroba)[ _-][a-z0-9-]+\.[a-z0-9-]")
+#: What `disguised` looks for before the costlier written(): all that it can change holds one.
+WORD_SIGN = re.compile(r"(?i)[ _-](?:dot|punkt|punto)[ _-]| @ | \. |[ _-](?:at|arroba)[ _-](?:(?!-(?:at|arroba)-)[a-z0-9-])++(?:\.[a-z0-9-]|-(?:dot|punkt|punto)[ _-])")
 DOTTED = re.compile(r"(?i)(?<=[0-9])[ _-](?:dot|punkt|punto|point)[ _-](?=[0-9])")
 PLUS = re.compile(r"(?i)(?<!\w)plus[ -]?(?=[0-9][0-9 ().-]{6})")
 ENTITY = re.compile(r"(?i)&(?:#0*64|#x0*40|commat|#0*46|#x0*2e|period|#0*43|#x0*2b|plus);")
@@ -163,11 +167,57 @@ def slips(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def before_sign(text: str, end: int, low: int) -> int:
+    """Where the local part that ends at `end` begins, not before `low`; `end` if there is none. Runs of its characters may be joined by a written-out dot."""
+
+    def run(k: int) -> int:
+        while k > low and text[k - 1] in LOCAL:
+            k -= 1
+        return k
+
+    start = run(end)
+    while low < start < end and text[start - 1] == " ":
+        # " dot ", or with another separator on one side, which then is among the run's characters
+        if text[start - 5 : start].lower() in (" dot ", "_dot ", "-dot "):
+            joint = start - 5
+        elif text[start : start + 4].lower() in ("dot_", "dot-"):
+            joint = start - 1
+        else:
+            break
+        if joint <= low or (further := run(joint)) == joint:
+            break
+        start = further
+    return start
+
+
+def written(text: str) -> list[tuple[int, int]]:
+    """Spans of addresses whose signs may be written out, from each sign to both sides, no further than the signs around it: linear in the text."""
+    out, last = [], 0
+    for m in SIGN.finditer(text):
+        low, last = last, max(last, m.end())
+        start = before_sign(text, m.start(), low)
+        if start == m.start() or (start > low and (text[start - 1].isalnum() or text[start - 1] == "_")):
+            continue
+        label = LABEL.match(text, m.end())
+        ends = []
+        while label:
+            dot = BETWEEN.match(text, label.end())
+            label = dot and LABEL.match(text, dot.end())
+            if label:
+                ends.append(label.end())
+        # the longest domain that no word runs on from
+        end = next((e for e in reversed(ends) if not AFTER.match(text, e)), None)
+        if end:
+            out.append((start, end))
+            last = max(last, end)
+    return out
+
+
 def signs(tape: Tape) -> None:
     tape.rewrite(sorted([(*m.span(), "@") for m in AT.finditer(tape.text)] + [(*m.span(), ".") for m in DOT.finditer(tape.text)]))
     edits = []
-    for m in WRITTEN.finditer(tape.text):
-        inner = [*WRITTEN_PART.finditer(tape.text, m.start(), m.end())]
+    for start, end in written(tape.text):
+        inner = [*WRITTEN_PART.finditer(tape.text, start, end)]
         edits += [(*x.span(), "@" if (x[1] or x[2]).lower() in ("at", "arroba", "@") else ".") for x in inner]
     tape.rewrite(edits)
     tape.rewrite([(*m.span(), ".") for m in DOTTED.finditer(tape.text)])
@@ -210,7 +260,7 @@ def disguised(text: str) -> bool:
         return True
     if DIGIT.search(text) and (SLIP.search(text) or PLUS.search(text) or DOTTED.search(text)):
         return True
-    return bool(WORD_SIGN.search(text) and WRITTEN.search(text))
+    return bool(WORD_SIGN.search(text) and written(text))
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -246,7 +296,7 @@ def spans_column(text: Column) -> Column:
     def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             rows = []
-            for t in plain(texts).to_pylist():
+            for t in (t for part in slices(plain(texts), 1_000_000) for t in part.to_pylist()):
                 base, more = find(t)
                 both = [(k, a, b, True) for k, a, b in base] + [(k, a, b, False) for k, a, b in more]
                 rows.append([dict(zip(("kind", "start", "end", "base"), x, strict=True)) for x in sorted(both, key=lambda x: (KINDS.index(x[0]), x[1]))])
@@ -278,7 +328,11 @@ def redact_column(text: Column) -> Column:
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all)."""
+    """One row per row of `docs`: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all).
+
+    Null and empty texts have no spans; texts of any length are read whole, in time linear in their length. Repeated rows
+    give repeated results, an empty table an empty one; other columns are ignored, whatever their names.
+    """
     rows = docs.select("doc_id", spans_column(whole_text()).alias("found"))
 
     def count(kind: str) -> Column:

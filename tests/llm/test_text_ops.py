@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -227,6 +228,36 @@ def test_clean_texts_stay(text):
     assert pii.find(text) == ([], [])
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "a" + "_dot_a" * 20_000 + " !",
+        "a at " + "a-dot-" * 20_000 + "!",
+        "a-at-" * 20_000 + "b",
+        "a at b dot " * 10_000,
+        "a dot " * 20_000 + "@",
+        "x at " + "1." * 50_000 + "x",
+        "a@" * 50_000,
+        "a." * 50_000 + "@b",
+        "one " * 25_000,
+        "one 1 " * 20_000 + "x",
+        "plus one 22 " * 10_000,
+        "1 " * 50_000 + "O1a",
+        "l1" * 50_000 + "x",
+        "+1" + "(" * 100_000,
+        "+1-" * 40_000,
+        "&#" + "0" * 100_000,
+        "( at " * 20_000,
+        "[dot" * 25_000,
+        "１" * 100_000 + "x",
+    ],
+)
+def test_long_adversarial_texts(text):
+    began = time.process_time()
+    pii.find(text)
+    assert time.process_time() - began < 2
+
+
 def test_pii_edges(spark):
     docs = spark.createDataFrame([(1, None, None, None, None), (2, "", None, None, None), (3, "a@b.cc " * 5000, None, None, None), (3, "x" * 100000 + "+1" * 5000, None, None, None)], DOCS).selectExpr("*", "text AS found")
     rows = pii.scan_documents(docs).collect()
