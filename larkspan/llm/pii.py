@@ -9,6 +9,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -271,7 +272,9 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     tape = Tape(text)
     for step in (entities, glyphs, signs):
         step(tape)
-    more = []
+    # the base spans of a kind ascend without overlap
+    held = {kind: ([a for k, a, _ in base if k == kind], [b for k, _, b in base if k == kind]) for kind in KINDS}
+    more: dict[tuple[str, int, int], None] = {}
     # a run of figures may belong to the spelled digits before it or not: the text is read both ways
     readings = [spelled(tape.text), mixed(tape.text)]
     for found in readings if readings[1] else readings[:1]:
@@ -279,10 +282,12 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
         digits(own, found)
         slips(own)
         for kind, a, b in detect(own.text) if own.text != text else ():
-            span = kind, own.starts[a], own.ends[b - 1]
-            if span not in more and not any(k == kind and s <= span[1] and span[2] <= e for k, s, e in base):
-                more.append(span)
-    return base, more
+            start, end = own.starts[a], own.ends[b - 1]
+            starts, ends = held[kind]
+            at = bisect_right(starts, start) - 1
+            if at < 0 or ends[at] < end:
+                more[kind, start, end] = None
+    return base, list(more)
 
 
 SPANS = "array<struct<kind: string, start: int, end: int, base: boolean>>"
