@@ -1,10 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
 Each distinct vector is represented by its nearest pivots in order. Blocks of the index post them in inverted files, one
-for each pivot: which vectors have it among their first PREFIX, and at what place. A query walks the files of its own
-first pivots, which adds up the footrule distance of the two orders; the nearest share of a block by that distance is
-reranked by the exact inner product. The largest inner product becomes the least distance by one more coordinate, which
-lifts all vectors to the largest norm.
+for each pivot, which say for each vector of the block how early it names the pivot, if it does so among its first
+PREFIX: a byte each, as a fourth of the vectors are posted in each file. A query adds up the files of its own first
+pivots to the footrule distance of the two orders; the nearest of a block by that distance are reranked by the exact
+inner product. The largest inner product becomes the least distance by one more coordinate, which lifts all vectors to
+the largest norm.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from larkspan.llm.common import cut, discard
 
-PIVOTS, PREFIX, SHARE, LEAST = 256, 96, 0.125, 300
-#: Vectors in a block of the index, and queries that are sent to all blocks at once.
+#: Of a block of n vectors, LEAST + SHARE * n are reranked for a query. PREFIX is 127 at most.
+PIVOTS, PREFIX, SHARE, LEAST = 256, 64, 0.06, 256
+#: Vectors in a block of the index, and queries in a block of these.
 BLOCK, QUERIES = 8192, 4096
 
 
@@ -31,6 +33,12 @@ def valid(vectors: DataFrame) -> DataFrame:
     return rows.where(~bad & F.exists("x", lambda v: v != 0)).distinct()
 
 
+def as_long(rows: DataFrame) -> tuple[DataFrame, int]:
+    """The rows with zeros after shorter vectors, which change no inner product, and the longest length; 0 without rows."""
+    longest = rows.agg(F.max(F.size("x"))).first()[0] or 0
+    return rows.withColumn("x", F.concat("x", F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("x")))).distinct(), longest
+
+
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
     """x and its k + 1 least ids, ascending: no other copy can be among the k nearest of a query."""
     rank = F.row_number().over(Window.partitionBy("x").orderBy("vec_id"))
@@ -48,17 +56,15 @@ class Block:
 
     def __init__(self, x: np.ndarray, ids: list[list[int]], first: np.ndarray, pivots: int):
         self.x, self.ids, self.n, self.prefix = x, ids, len(x), first.shape[1]
-        order = np.argsort(first.ravel(), kind="stable")
-        self.begins = np.searchsorted(first.ravel()[order], np.arange(pivots + 1))
-        self.members, self.places = order // self.prefix, (self.prefix - order % self.prefix).astype(np.int32)
+        self.files = np.zeros((pivots, self.n), np.int8)
+        self.files[first, np.arange(self.n)[:, None]] = np.arange(self.prefix, 0, -1)
 
     def search(self, query: np.ndarray, own: int, first: np.ndarray, k: int, share: float, least: int) -> list[tuple[float, int]]:
         """(score, id) of the k nearest found, without the query's own id. Of a footrule distance, what shared pivots save counts."""
-        saved = np.zeros(self.n, np.int32)
-        for place, p in enumerate(first):
-            a, b = self.begins[p], self.begins[p + 1]
-            saved[self.members[a:b]] += np.minimum(self.prefix - place, self.places[a:b])
-        most = max(least, int(self.n * share))
+        saved = np.zeros(self.n, np.int16)
+        for weight, p in zip(range(self.prefix, 0, -1), first.tolist()):
+            saved += np.minimum(self.files[p], np.int8(weight))
+        most = least + int(self.n * share)
         got = np.argpartition(-saved, most)[:most] if most < self.n else np.arange(self.n)
         scores = (self.x[got] * query).sum(1)
         if len(got) > k + 1:
@@ -67,21 +73,26 @@ class Block:
         return sorted(((float(s), i) for s, g in zip(scores, got, strict=True) for i in self.ids[g] if i != own), key=lambda x: (-x[0], x[1]))[:k]
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def matrix(arrays: pa.ChunkedArray) -> np.ndarray:
+    """Arrays of one length as rows."""
+    return arrays.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(arrays), -1)
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each row whose id is divisible by `every`, by the largest inner product.
 
     All other rows are candidates; ties go to the smaller id. Vectors that are null, zero or have null or non-finite
-    components take no part, nor do those of another length than most. An id with several vectors is several rows; none
-    of them is found for a query of that id. An empty table gives no row. The pivots are a bounded sample, the first
-    vectors by a hash; every vector is indexed.
+    components take no part; a shorter vector counts as one with zeros after it. An id with several vectors is several
+    rows; none of them is found for a query of that id. An empty table gives no row; other columns are ignored, whatever
+    their names. The pivots are a bounded sample, the first vectors by a hash; every vector is indexed.
+
+    Each pair of a block of vectors and a block of queries is a group of its own, so that no task holds more than both.
     """
     spark = vectors.sparkSession
-    out = "query_id bigint, rank int, vec_id bigint, score double"
-    rows = valid(vectors)
-    sizes = rows.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if sizes is None:
-        return spark.createDataFrame([], out)
-    rows = cut(rows.where(F.size("x") == sizes["n"]), "vectors")
+    rows, longest = as_long(valid(vectors))
+    if not longest:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    rows = cut(rows, "vectors")
     classes = cut(distinct_vectors(rows, k).withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)), "vector-classes")
     stats = classes.agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("top")).first()
     n, top = stats["n"], stats["top"]
@@ -89,38 +100,28 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, pivots: int = PIVO
     table = np.array([[*r["x"], max(0.0, top - r["norm"]) ** 0.5] for r in chosen])
     prefix = min(prefix, len(table))
     held = spark.sparkContext.broadcast(table)  # `pivots` rows
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = b.column(0).flatten().to_numpy().reshape(len(b), -1)
-            first = orders(x, np.sqrt(np.maximum(0, top - b.column(2).to_numpy())), held.value, prefix)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.FixedSizeListArray.from_arrays(first.ravel(), prefix).cast(pa.list_(pa.int32()))], ["x", "ids", "first"])
-
-    posted = cut(classes.repartition(max(1, -(-n // BLOCK))).mapInArrow(index, "x array<double>, ids array<bigint>, first array<int>"), "vector-index")
-    discard(classes)
     asked = rows.where(F.col("vec_id") % every == 0)
-    blocks = -(-asked.count() // QUERIES)
-    found = None
-    for i in range(blocks):
-        got = asked.where(F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)) == i).orderBy("vec_id").collect()
-        queries = np.array([r["x"] for r in got]).reshape(len(got), sizes["n"])
-        sent = spark.sparkContext.broadcast(([r["vec_id"] for r in got], queries, orders(queries, np.zeros(len(got)), table, prefix)))  # about QUERIES rows
-
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            held_rows = [b for b in batches if len(b)]
-            own, queries, firsts = sent.value
-            parts = pa.Table.from_batches(held_rows).combine_chunks().to_batches(max_chunksize=2 * BLOCK) if held_rows else []
-            for b in parts:
-                x = b.column(0).flatten().to_numpy().reshape(len(b), -1)
-                block = Block(x, b.column(1).to_pylist(), b.column(2).flatten().to_numpy().reshape(len(b), -1), len(held.value))
-                for a in range(0, len(own), 512):
-                    hits = [(q, s, i) for q, v, f in zip(own[a : a + 512], queries[a : a + 512], firsts[a : a + 512], strict=True) for s, i in block.search(v, q, f, k, share, least)]
-                    yield pa.RecordBatch.from_arrays([pa.array([h[0] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int64()), pa.array([h[1] for h in hits], pa.float64())], ["query_id", "vec_id", "score"])
-
-        part = posted.mapInArrow(search, "query_id bigint, vec_id bigint, score double")
-        found = part if found is None else found.union(part)
-    discard(rows)
-    if found is None:
-        return spark.createDataFrame([], out)
+    v_blocks, q_blocks = max(1, -(-n // block)), max(1, -(-asked.count() // queries))
+
+    def to(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    vector_rows = classes.select("x", "ids", "norm", F.pmod(F.xxhash64("x"), F.lit(v_blocks)).cast("int").alias("v")).withColumn("q", to(q_blocks))
+    query_rows = asked.select("vec_id", "x", F.pmod(F.xxhash64("vec_id", "x"), F.lit(q_blocks)).cast("int").alias("q")).withColumn("v", to(v_blocks))
+    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def search(own: pa.Table, others: pa.Table) -> pa.Table:
+        hits: list[tuple[int, int, float]] = []
+        if len(own) and len(others):
+            x, y = matrix(own["x"]), matrix(others["x"])
+            files = Block(x, own["ids"].to_pylist(), orders(x, np.sqrt(np.maximum(0, top - own["norm"].to_numpy())), held.value, prefix), len(held.value))
+            firsts = orders(y, np.zeros(len(y)), held.value, prefix)
+            for q, v, f in zip(others["vec_id"].to_pylist(), y, firsts, strict=True):
+                hits += [(q, i, s) for s, i in files.search(v, q, f, k, share, least)]
+        return pa.table([pa.array([h[c] for h in hits], f.type) for c, f in enumerate(kinds)], schema=kinds)
+
+    found = vector_rows.groupBy("v", "q").cogroup(query_rows.groupBy("v", "q")).applyInArrow(search, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    out = cut(found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "neighbours")
+    discard(rows, classes)
+    return out

@@ -133,7 +133,9 @@ def test_neighbours_edges(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [2.0, 1.0]), (5, [0.0, 0.0]), (6, None), (7, [nan, 1.0]), (8, [None, 1.0]), (40, [inf, 1.0]), (9, [1.0]), (None, [1.0, 1.0]), (4, [2.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").selectExpr("*", "1 AS x", "2 AS ids", "3 AS rank")
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in permindex.nearest(df).orderBy("query_id", "rank").collect()]
-    assert got == [(0, 1, 4, 2.0), (0, 2, 3, 1.0), (0, 3, 20, 1.0), (20, 1, 4, 2.0), (20, 2, 0, 1.0), (20, 3, 3, 1.0)]
+    assert got == [(0, 1, 4, 2.0), (0, 2, 3, 1.0), (0, 3, 9, 1.0), (0, 4, 20, 1.0), (20, 1, 4, 2.0), (20, 2, 0, 1.0), (20, 3, 3, 1.0), (20, 4, 9, 1.0)]
+    by_blocks = permindex.nearest(df, block=2, queries=1).orderBy("query_id", "rank").collect()
+    assert got == [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in by_blocks]
     assert permindex.nearest(df.limit(0)).count() == 0
 
 
