@@ -2,7 +2,9 @@
 
 An item of m characters may occur with k = RATE * m errors. Cut into k + 1 pieces, one piece of it then occurs without
 error: an Aho-Corasick automaton of all pieces finds these, and Myers' bit-parallel distance verifies the item around
-each. Both sides are lower-cased, with one space for whatever isn't a letter or digit.
+each. Both sides are lower-cased, with one space for whatever isn't a letter or digit, and a space at either end, so that
+an item matches at the bounds of words. An item of fewer than LEAST characters, such as "yes", says nothing where it
+stands among other words: it matches only a document that is nothing else.
 """
 
 from __future__ import annotations
@@ -10,19 +12,22 @@ from __future__ import annotations
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm.chunks import plain
-from larkspan.llm.common import fresh, whole_text
+from larkspan.llm.chunks import plain, slices
+from larkspan.llm.common import cut, discard, fresh, whole_text
 
 #: Errors allowed for each character of an item.
 RATE = 0.08
-#: Items come in blocks of about as many characters; each block is one pass over the documents.
-BLOCK = 4_000_000
+#: Characters of an item that can match a part of a document.
+LEAST = 25
+#: Items come in blocks of about as many characters; each block is one pass over the documents, written before the next.
+BLOCK = 1_000_000
 
 HITS = "array<struct<item_id: bigint, distance: int, budget: int>>"
 HIT_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("budget", pa.int32())]))
@@ -59,10 +64,14 @@ def occurs(masks: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """items: (item_id, normalised text); empty texts match nothing."""
-
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
-        self.items = [(i, t, int(rate * len(t))) for i, t in items if t]
+    """items: (item_id, normalised text); empty texts match nothing. edge: put around items and texts. Items of fewer than `least` characters match whole texts."""
+
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, edge: str = "", least: int = 0):
+        self.edge, self.whole = edge, defaultdict(list)
+        for i, t in items:
+            if t and len(t) < least:
+                self.whole[t].append((i, 0, 0))
+        self.items = [(i, f"{edge}{t}{edge}", int(rate * len(t))) for i, t in items if t and len(t) >= least]
         self.masks: dict[int, dict[str, int]] = {}
         by_piece = defaultdict(list)
         for n, (_, text, k) in enumerate(self.items):
@@ -83,8 +92,10 @@ class Matcher:
 
     def find(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, least distance, budget) of each item that occurs within its budget, by item_id."""
+        short = self.whole.get(text, [])
         if not self.items:
-            return []
+            return sorted(short)
+        text = f"{self.edge}{text}{self.edge}"
         begins = defaultdict(set)
         for end, (size, where) in self.automaton.iter(text):
             for n, at in where:
@@ -105,7 +116,7 @@ class Matcher:
                     best, done = min(best, occurs(self.mask(n), m, text[a:z])), z
             if best <= k:
                 out.append((item, best, k))
-        return sorted(out)
+        return sorted(out + short)
 
 
 def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
@@ -117,52 +128,55 @@ def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple
         yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
 
 
-#: A worker's matchers by block, kept from task to task; the last two.
-MATCHERS: dict[str, Matcher] = {}
+#: A worker's matcher, kept from task to task: (key, matcher) of the block that is looked for.
+HELD: list = []
 
 
 def matcher_of(key: str, items: list[tuple[int, str]], rate: float) -> Matcher:
-    if key not in MATCHERS:
-        while len(MATCHERS) > 1:
-            del MATCHERS[next(iter(MATCHERS))]
-        MATCHERS[key] = Matcher(items, rate)
-    return MATCHERS[key]
-
-
-def hits_columns(spark: SparkSession, benchmark: DataFrame, text: Column, rate: float = RATE) -> list[Column]:
-    """For each block of items a column with the hits of each normalised text."""
-
-    def column(items: list[tuple[int, str]]) -> Column:
-        held = spark.sparkContext.broadcast(items)  # a block
-        key = uuid.uuid4().hex
-
-        @F.arrow_udf(HITS)
-        def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            matcher = matcher_of(key, held.value, rate)
-            for texts in batches:
-                yield pa.array([[dict(zip(("item_id", "distance", "budget"), h, strict=True)) for h in matcher.find(t)] for t in plain(texts).to_pylist()], HIT_TYPE)
+    if not HELD or HELD[0][0] != key:
+        HELD.clear()
+        HELD.append((key, Matcher(items, rate, " ", LEAST)))
+    return HELD[0][1]
 
-        return hits(normal(text))
 
-    return [column(items) for items in item_blocks(benchmark)]
+def hits_column(spark: SparkSession, items: list[tuple[int, str]], text: Column, rate: float = RATE) -> Column:
+    """The hits of a block of items in each text."""
+    held = spark.sparkContext.broadcast(items)  # a block
+    key = uuid.uuid4().hex
 
+    @F.arrow_udf(HITS)
+    def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = matcher_of(key, held.value, rate)
+        for texts in batches:
+            found = [matcher.find(t) for part in slices(plain(texts), 1_000_000) for t in part.to_pylist()]
+            yield pa.array([[dict(zip(("item_id", "distance", "budget"), h, strict=True)) for h in own] for own in found], HIT_TYPE)
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, rate: float = RATE) -> DataFrame:
-    """`docs` and a column of all hits. Without items there are none."""
-    columns = hits_columns(docs.sparkSession, benchmark, whole_text(), rate)
-    return docs.withColumn(name, F.concat(*columns) if columns else F.array().cast(HITS))
+    # else the optimizer repeats it for a filter on its result
+    return hits.asNondeterministic()(normal(text))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """One row for each document and item that it holds: doc_id, item_id, distance, budget.
 
     Null and empty texts hold nothing; repeated rows and items of one id give a row each, with the least distance per
-    item text.
+    item text. Texts of any length are searched whole; empty tables give no rows; other columns are ignored, whatever
+    their names. The hits of each block of items are written before the next block is looked for, so that no plan or
+    task holds more than one.
     """
-    return with_hits(docs.select("doc_id", "text"), benchmark, "hits", rate).where(F.size("hits") > 0).select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+    spark = docs.sparkSession
+    parts = [cut(docs.select("doc_id", F.explode(hits_column(spark, items, whole_text(), rate)).alias("hit")).select("doc_id", "hit.*"), "hits") for items in item_blocks(benchmark)]
+    return reduce(DataFrame.union, parts) if parts else docs.select("doc_id", F.explode(F.array().cast(HITS)).alias("hit")).select("doc_id", "hit.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """`docs` without the rows that hold an item."""
-    name = fresh(docs, "hits")
-    return with_hits(docs, benchmark, name, rate).where(F.size(name) == 0).select(*docs.columns)
+    """`docs` without the rows that hold an item; all its columns stay, whatever their names. What a block leaves is written before the next is looked for."""
+    name, blocks = fresh(docs, "hits"), item_blocks(benchmark)
+    items, held, left = next(blocks, None), None, docs
+    while items is not None:
+        left, last = left.withColumn(name, hits_column(docs.sparkSession, items, whole_text(), rate)).where(F.size(name) == 0).select(*docs.columns), held
+        items = next(blocks, None)
+        if items is not None:
+            left = held = cut(left, "clean")
+            if last is not None:
+                discard(last)
+    return left
