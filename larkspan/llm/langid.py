@@ -7,12 +7,12 @@ word's language probabilities, also within code-switched text, and a document's
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +23,11 @@ from larkspan.llm.features import sums_by_text, word_features, words_of
 SIZES, BITS = (2, 3, 4), 16
 #: Most labelled rows of a language to learn from, and of all languages, which share them; each language has one at least.
 SAMPLE, ROWS = 250, 16_000
+#: Most words of a row to learn from, in pieces of PIECE words that lie evenly over its text, and characters of a word.
+WORDS, PIECE, LETTERS = 400, 25, 40
 CHUNK = 500_000
 UNKNOWN = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(words: list[str]) -> list[str]:
@@ -237,6 +239,14 @@ class ChainModel:
         return labelled(text)
 
 
+def excerpt(text: str) -> Column:
+    """The text, or pieces of it that are WORDS words together. The driver gets no more of any row."""
+    words = F.transform(F.split(F.trim(F.col(text)), r"\s+"), lambda w: F.substring(w, 1, LETTERS))
+    n = WORDS // PIECE
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(words, (F.lit(1) + F.floor((F.size(words) - PIECE) * i / (n - 1))).cast("int"), PIECE))
+    return F.array_join(F.when(F.size(words) <= WORDS, words).otherwise(F.flatten(pieces)), " ")
+
+
 def learn(docs: DataFrame, held_out: tuple[int, int] = (3, 1), sample: int = SAMPLE) -> ChainModel:
     """Fits on `sample` rows of each language at most, or an equal share of ROWS, the first by a hash among those whose crc32 isn't held out. Null ids, texts and languages are left out."""
     mod, out = held_out
@@ -245,11 +255,16 @@ def learn(docs: DataFrame, held_out: tuple[int, int] = (3, 1), sample: int = SAM
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = known.select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= share).select("doc_id", "lang").distinct()
     # ROWS rows at most, or one of each language
-    got = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
+    got = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "lang", excerpt("text").alias("text")).toArrow().sort_by([("lang", "ascending"), ("doc_id", "ascending")])
     return ChainModel.fit(list(zip(got["text"].to_pylist(), got["lang"].to_pylist(), strict=True)))
 
 
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, lang_pred, score. Only the text enters a prediction; without any labelled row all are `und`."""
+    """One row per row of `docs`: doc_id, held_out, lang_pred, score. Only the text enters a prediction.
+
+    Texts that are null, empty or without a letter are `und` with score 0, as are all without any labelled row; texts of
+    any length are read whole. Repeated rows give repeated results, equal means the first language by name, an empty
+    table an empty result; other columns are ignored, whatever their names.
+    """
     model = learn(docs)
     return docs.select("doc_id", (crc32_mod("doc_id", 3) == 1).alias("held_out"), model.predict(docs.sparkSession, whole_text()).alias("p")).select("doc_id", "held_out", "p.*")

@@ -129,7 +129,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """One row per row of `docs`: doc_id, held_out, score, predicted (1 if score >= threshold). Only the text enters a score."""
+    """One row per row of `docs`: doc_id, held_out, score, predicted (1 if score >= threshold). Only the text enters a score.
+
+    Null and empty texts get the score of no features; texts of any length are read whole. Repeated rows give repeated
+    results, an empty table an empty one; without labels all scores are 1. Other columns are ignored, whatever their names.
+    """
     model = learn(docs, labels)
     rows = docs.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), model.score(docs.sparkSession, whole_text()).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
