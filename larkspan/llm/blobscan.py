@@ -13,11 +13,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import cut, whole_text
+from larkspan.llm.common import scratch, whole_text
 
 LEDGER = "blob binary, scans map<string, array<struct<start: int, end: int>>>"
 
 
+def either(word: str) -> str:
+    """A pattern for an ASCII word in either case, letter by letter: engines differ in what else ignoring case lets in."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+
 @dataclass(frozen=True)
 class Rule:
     """A regular expression's matches, leftmost and non-overlapping; those whose group is shorter than `least` are dropped.
@@ -39,7 +45,7 @@ class Rule:
 
 # The contract's kinds, in its order.
 BASE_RULES = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6, holds=(":", "=")),
+    Rule("assign", f"({'|'.join(map(either, ('password', 'passwd', 'secret', 'token', 'api_?key')))})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", group=2, least=6, holds=(":", "=")),
     Rule("access", r"AKIA[A-Z0-9]+", least=20, holds=("AKIA",)),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
@@ -95,6 +101,21 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
     return blobs.select("blob", F.map_from_entries(F.filter(new, lambda x: x["value"].isNotNull())).alias("scans"))
 
 
+def merged(ledger: DataFrame) -> DataFrame:
+    """A row for each blob, with the spans of all rule versions."""
+    entries = F.array_distinct(F.flatten(F.collect_list(F.map_entries("scans"))))
+    return ledger.groupBy("blob").agg(F.map_from_entries(entries).alias("scans"))
+
+
+def update_ledger(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """Scans what the ledger stored at `path` hasn't, adds that to it, and returns the ledger. A path without files is an empty ledger."""
+    spark = versions.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    scan(versions, spark.read.schema(LEDGER).parquet(path) if there else None, rules, text).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def findings(versions: DataFrame, path: str, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """One row for each row of `versions`: the path and its array of struct(start, rank, kind, end), by start and then by rule order."""
     def tagged(i: int, rule: Rule) -> Column:
@@ -102,7 +123,7 @@ def findings(versions: DataFrame, path: str, ledger: DataFrame, rules: tuple[Rul
         return F.transform(own, lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), F.lit(rule.kind).alias("kind"), s["end"].alias("end")))
 
     parts = [tagged(i, r) for i, r in enumerate(rules)]
-    found = ledger.select("blob", F.array_sort(F.flatten(F.array(*parts))).alias("found")).where(F.size("found") > 0)
+    found = merged(ledger).select("blob", F.array_sort(F.flatten(F.array(*parts))).alias("found")).where(F.size("found") > 0)
     paths = versions.select(F.col(path).alias("path"), address(whole_text(text)).alias("blob"))
     none = F.array().cast("array<struct<start: int, rank: int, kind: string, end: int>>")
     return paths.join(found, "blob", "left").select("path", F.coalesce("found", none).alias("found"))
@@ -112,10 +133,15 @@ def written(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan_documents(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_assign, n_access, n_hex, base_sha256, spans. Repeated texts are scanned once."""
+def scan_documents(docs: DataFrame, ledger: str | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_assign, n_access, n_hex, base_sha256, spans. Repeated texts are scanned once.
+
+    ledger: a path where the ledger is kept from scan to scan; a new one in the shared folder if none is given. Null and
+    empty texts have no spans; texts of any length are scanned whole. Repeated rows give repeated results, an empty table
+    an empty one; other columns are ignored, whatever their names.
+    """
     # the ledger is a table of its own: a join from tables is one whose hot blobs adaptive execution can split
-    rows = findings(docs, "doc_id", cut(scan(docs), "ledger"))
+    rows = findings(docs, "doc_id", update_ledger(docs, ledger or scratch(docs.sparkSession, "ledger")))
     base = F.filter("found", lambda x: x["rank"] < len(BASE_RULES))
 
     def count(rule: Rule) -> Column:

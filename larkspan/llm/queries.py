@@ -21,7 +21,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blobscan.scan_documents(load(spark, sf_dir, "documents"))
+    """spark.larkspan.ledger, if it is set, is the path of a ledger that is kept between scans."""
+    return blobscan.scan_documents(load(spark, sf_dir, "documents"), spark.conf.get("spark.larkspan.ledger", None))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
