@@ -24,15 +24,20 @@ def keys(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.trim(line)), F.hash(F.trim(line))
 
 
+def row_key() -> Column:
+    """What tells rows without a doc_id apart, so that they aren't one hot key: a hash of the text, else 0."""
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(whole_text())).otherwise(0)
+
+
 def site_lines(docs: DataFrame, site: str) -> DataFrame:
-    """doc_id, site, h1, h2 of each line that isn't blank. A null site counts as the site named by the empty string."""
-    lines = docs.select("doc_id", F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.explode(F.split(whole_text(), BREAK)).alias("line")).where(F.trim("line") != "")
+    """doc_id, own, site, h1, h2 of each line that isn't blank. A null site counts as the site named by the empty string."""
+    lines = docs.select("doc_id", row_key().alias("own"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.explode(F.split(whole_text(), BREAK)).alias("line")).where(F.trim("line") != "")
     h1, h2 = keys(F.col("line"))
-    return lines.select("doc_id", "site", h1.alias("h1"), h2.alias("h2"))
+    return lines.select("doc_id", "own", "site", h1.alias("h1"), h2.alias("h2"))
 
 
 def removals(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """doc_id and its boilerplate lines' keys, for documents that have any."""
+    """doc_id, own (see row_key) and the boilerplate lines' keys, for documents that have any."""
     error = 3 * 1.04 / math.sqrt(1 << LG_K)
     low, high = min_sites * (1 - error), min_sites * (1 + error)
     lines = site_lines(docs, site)
@@ -42,7 +47,7 @@ def removals(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES)
     held = cut(lines.join(wide, ["h1", "h2"]), "wide-line-rows")
     exact = held.where("near").select("h1", "h2", "site").distinct().groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("sites")).where(F.col("sites") >= min_sites)
     boilerplate = wide.where(~F.col("near")).select("h1", "h2").union(exact.select("h1", "h2"))
-    return held.join(boilerplate, ["h1", "h2"], "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
+    return held.join(boilerplate, ["h1", "h2"], "left_semi").groupBy("doc_id", "own").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -51,8 +56,8 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     Lines end at a line feed; blank lines stay. Every row stays, also if its text becomes empty; a null text stays null
     and has no lines. Rows of one doc_id each keep their own text. Columns of clashing names are kept.
     """
-    key, gone, n, m = (fresh(docs, x) for x in ("gone_id", "gone", "n_lines", "n_removed"))
-    found = removals(docs, site, min_sites).select(F.col("doc_id").alias(key), F.col("gone").alias(gone))
+    key, own, gone, n, m = (fresh(docs, x) for x in ("gone_id", "gone_own", "gone", "n_lines", "n_removed"))
+    found = removals(docs, site, min_sites).select(F.col("doc_id").alias(key), F.col("own").alias(own), F.col("gone").alias(gone))
 
     def stays(line: Column) -> Column:
         h1, h2 = keys(line)
@@ -60,7 +65,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
 
     lines = F.split(F.col("text"), BREAK)
     # merged at every size: a plan that broadcasts what is small today moves all texts only once the corpus has grown
-    joined = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    joined = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col(key)) & (row_key() == F.col(own)), "left")
     left = F.when(F.col(gone).isNull(), lines).otherwise(F.filter(lines, stays))
     kept = joined.withColumn(gone, left).withColumn(n, F.coalesce(F.size(lines), F.lit(0)).cast("bigint")).withColumn(m, F.col(n) - F.coalesce(F.size(gone), F.lit(0)))
     kept = kept.withColumn("text", F.when(F.col("text").isNotNull(), F.when(F.col(m) == 0, F.col("text")).otherwise(F.array_join(gone, BREAK))))
