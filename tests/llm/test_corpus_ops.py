@@ -64,7 +64,7 @@ def test_decontamination(spark, documents):
     benchmark = spark.read.parquet(f"{SF01}/benchmark.parquet")
     clean = lambda s: " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
     items = {r["item_id"]: clean(r["text"]) for r in benchmark.collect()}
-    exact = {(r["doc_id"], i) for r in documents.collect() for i, t in items.items() if t in clean(r["text"])}
+    exact = {(r["doc_id"], i) for r in documents.collect() for i, t in items.items() if f" {t} " in f" {clean(r['text'])} "}
     got = {(r["doc_id"], r["item_id"]): r["distance"] for r in QUERIES["op3_decontamination"](spark, SF01).collect()}
     assert exact and {k for k, d in got.items() if d == 0} == exact
     kept = decontam.clean(documents, benchmark)
@@ -81,6 +81,30 @@ def test_decontamination_edges(spark):
     assert decontam.contaminated(docs.limit(0), bench).count() == 0 and decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_short_items_and_blocks(spark, monkeypatch):
+    long = [f"{w} {w[::-1]} over {w}" for w in ("copper", "window", "garden", "saddle", "thirty", "jumped")]
+    bench = spark.createDataFrame([(1, "yes"), (2, "a"), *((10 + i, t) for i, t in enumerate(long))], "item_id bigint, text string")
+    docs = odd_docs(spark, [(1, "Yes!"), (2, "yesterday was a fine day"), (3, f"x {long[3]} y"), (4, f"x{long[3]}y"), (5, None), (6, long[0] + " " + long[5])])
+    want = {(1, 1, 0): 2, (3, 13, 0): 2, (4, 13, 2): 2, (6, 10, 0): 2, (6, 15, 0): 2}
+    for block in (decontam.BLOCK, 60):
+        monkeypatch.setattr(decontam, "BLOCK", block)
+        assert Counter((r["doc_id"], r["item_id"], r["distance"]) for r in decontam.contaminated(docs, bench).collect()) == want
+        kept = decontam.clean(docs, bench)
+        assert Counter(r["doc_id"] for r in kept.collect()) == {2: 2, 5: 2, None: 1} and kept.columns == docs.columns
+
+
+def test_decontamination_equals_sellers(spark, documents):
+    benchmark = spark.read.parquet(f"{SF01}/benchmark.parquet").limit(12)
+    docs = documents.where("n_chars < 1500").orderBy("doc_id").limit(120)
+    clean = lambda s: " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
+    hurt = lambda s, n: "".join("q" if i % n == 3 else c for i, c in enumerate(s))
+    texts = [r["text"] for r in docs.collect()][:60] + [f"before {hurt(r['text'], n)} after" for r in benchmark.collect() for n in (9, 12, 14, 30)]
+    items = {r["item_id"]: clean(r["text"]) for r in benchmark.collect()}
+    want = {(i, k, d, int(0.08 * len(t))) for i, x in enumerate(texts) for k, t in items.items() if (d := edit_distance_within(f" {t} ", f" {clean(x)} ")) <= int(0.08 * len(t))}
+    got = decontam.contaminated(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), benchmark).collect()
+    assert {tuple(r) for r in got} == want and len(want) >= 24
+
+
 # op4
 
 
@@ -151,12 +175,12 @@ def test_line_oracle(spark, data):
 
 
 def test_line_edges(spark):
-    rows = [(i, f"head\nown {i}\n\n tail ", None, f"s{i}", None) for i in range(12)] + [(100, "head", None, None, None), (None, "tail\nhead", None, "s1", None), (101, None, None, "s2", None), (102, "", None, "s3", None), (5, "other\nhead", None, "s3", None), (103, "z\n" * 30000, None, "s1", None)]
+    rows = [(i, f"head\nown {i}\n\n tail ", None, f"s{i}", None) for i in range(12)] + [(100, "head", None, None, None), (None, "tail\nhead", None, "s1", None), (101, None, None, "s2", None), (102, "", None, "s3", None), (5, "other\nhead", None, "s3", None), (103, "z\n" * 30000, None, "s1", None), (None, "head\nmine", None, "s2", None), (None, "head\nmine", None, "s2", None)]
     docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "text AS gone", "1 AS n_lines", "doc_id AS gone_id")
     out = linedup.dedup_lines(docs)
     assert out.columns == [*docs.columns, "_n_lines", "n_removed"]
     got = Counter((r["doc_id"], r["text"], r["_n_lines"], r["n_removed"]) for r in out.collect())
-    assert got == Counter([(i, f"own {i}\n", 4, 2) for i in range(12)] + [(100, "", 1, 1), (None, "", 2, 2), (101, None, 0, 0), (102, "", 1, 0), (5, "other", 2, 1), (103, "z\n" * 30000, 30001, 0)])
+    assert got == Counter([(i, f"own {i}\n", 4, 2) for i in range(12)] + [(100, "", 1, 1), (None, "", 2, 2), (101, None, 0, 0), (102, "", 1, 0), (5, "other", 2, 1), (103, "z\n" * 30000, 30001, 0), (None, "mine", 2, 1), (None, "mine", 2, 1)])
     assert linedup.dedup_documents(docs.limit(0)).count() == 0
 
 
@@ -353,6 +377,7 @@ def test_language_edges_and_switches(spark, documents):
     docs = spark.createDataFrame([(1, mixed)], "doc_id bigint, text string")
     labels = [w["lang"] for w in docs.select(model.label_words(spark, docs.text).alias("w")).first()["w"]]
     assert labels[:25].count("en") >= 20 and labels[-25:].count("de") >= 20
+    assert model.predict_texts(pa.array(["½ ② ²"]))[0] == ["und"]
     odd = odd_docs(spark, [(1, None), (2, ""), (3, "123 ..."), (4, by["fr"] * 40), (5, "x" * 100000)])
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in odd.select("doc_id", model.predict(spark, odd.text).alias("p")).select("doc_id", "p.*").collect()}
     assert got[1] == got[2] == got[3] == got[None] == ("und", 0.0) and got[4][0] == "fr" and 0 <= got[5][1] <= 1

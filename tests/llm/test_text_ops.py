@@ -135,6 +135,28 @@ def test_ledger_scans_only_what_is_new(spark):
     assert {r["path"]: len(r["found"]) for r in found} == {"a": 1, "b": 0, "c": 1, "d": 1}
 
 
+def test_ledger_is_kept(spark, tmp_path):
+    """A stored ledger gives the same findings as a new one, scans only what it hasn't, and takes new rule versions."""
+    path = f"file://{tmp_path}/ledger"
+    first = spark.createDataFrame([(1, "token=abcdef"), (2, "nothing"), (3, None)], "doc_id bigint, text string")
+    more = first.union(spark.createDataFrame([(4, "token=abcdef"), (5, "password=12345678 " + "0a" * 20)], first.schema))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(blobscan.scan_documents(first, path)) == key(blobscan.scan_documents(first))
+    n = spark.read.parquet(path).count()
+    assert key(blobscan.scan_documents(more, path)) == key(blobscan.scan_documents(more)) and (n, spark.read.parquet(path).count()) == (3, 4)
+    changed = (*blobscan.RULES[:2], blobscan.Rule("hex", "[0-9a-f]{50,}", version=2))
+    ledger = blobscan.update_ledger(more, path, changed)
+    assert ledger.count() == 8 and blobscan.merged(ledger).count() == 4
+    found = {r["path"]: [x["kind"] for x in r["found"]] for r in blobscan.findings(more, "doc_id", ledger, changed).collect()}
+    assert found == {1: ["assign"], 2: [], 3: [], 4: ["assign"], 5: ["assign"]}
+    assert key(blobscan.scan_documents(more, path)) == key(blobscan.scan_documents(more))
+
+
+def test_letters_in_either_case_are_ascii(spark):
+    docs = spark.createDataFrame([(1, "\u017fecret=abcdef1"), (2, "Secret=abcdef1")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["n_assign"] for r in blobscan.scan_documents(docs).collect()} == {1: 0, 2: 1}
+
+
 def base_pii(text: str) -> list:
     def luhn(d):
         return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
