@@ -6,8 +6,8 @@ the edit distance. Texts that agree in a sketch share a band. Two texts of a ban
 their words confirms a similarity of THRESHOLD: 1 - edits / words of the longer text. Classes are the links' components.
 
 The texts of a band are compared with its most central one first. Those that are not yet in one component are compared
-with each other: at once in a band that has few left, else in pairs of blocks, where the texts' word counts spare the
-alignment of most pairs. No pair of a band is left out: a pair's word counts and lengths bound its edits from below.
+with each other, in pairs of blocks where the band has many; the texts' word counts spare the alignment of most pairs. No
+pair of a band is left out: a pair's word counts and lengths bound its edits from below.
 """
 
 from __future__ import annotations
@@ -32,12 +32,12 @@ SKETCHES = 32
 BAG_BITS = 8
 #: Links of a representative that are verified together.
 SALT = 256
-#: Pairs left for each text of a shared band at which all are compared at once; above it, further representatives come first.
+#: Pairs left for each text of a shared band at which all are compared at once; above it, texts are first compared with their nearest.
 PAIRS = 16
-#: Texts of a band that are joined to each other; more are compared in blocks of BLOCK.
-FEW, BLOCK = 32, 1024
-#: Pairs that a text gives at most in each of DEALS rounds in which it meets the others of its block.
-NEAREST, DEALS = 4, 2
+#: Texts of a block; a band that has more is compared in pairs of blocks.
+BLOCK = 1024
+#: Pairs that a text gives at most in a round in which it meets the others of its block.
+NEAREST = 4
 #: Words of a block's texts, or one text.
 WORDS = 1_000_000
 CHUNK = 1_000_000
@@ -255,8 +255,17 @@ def possible(pairs: DataFrame, met: DataFrame, threshold: float) -> DataFrame:
 
 def near_bags(sizes: np.ndarray, bags: np.ndarray, roots: np.ndarray, lower: np.ndarray, blocks: np.ndarray, threshold: float, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows, of two blocks or of one, that are of different roots, not both lower, and whose bags and sizes allow the threshold. nearest: only so many for each row, by their bags."""
+    mixed = bool((blocks != blocks[0]).any())
+    if len(sizes) <= 48 and nearest is None:
+        i, j = np.triu_indices(len(sizes), 1)
+        most = np.floor((1 - threshold) * np.maximum(sizes[i], sizes[j]) + 1e-9).astype(np.int64)
+        keep = (roots[i] != roots[j]) & ~(lower[i] & lower[j]) & (np.abs(sizes[i] - sizes[j]) <= most)
+        if mixed:
+            keep &= blocks[i] != blocks[j]
+        i, j, most = i[keep], j[keep], most[keep]
+        keep = np.abs(bags[i] - bags[j]).sum(1) <= 2 * most
+        return i[keep], j[keep]
     found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    mixed = len(np.unique(blocks)) > 1
     coarse = bags.reshape(len(bags), -1, 8).sum(2)  # bounds too, and sooner
     for i in range(len(sizes) - 1):
         j = np.arange(i + 1, len(sizes))
@@ -308,19 +317,42 @@ def block_pairs(members: DataFrame, met: DataFrame, threshold: float, deal: int
     nearest = None if deal is None else NEAREST
     kinds = pa.schema([("band", pa.int64()), ("cell", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("node", pa.binary()), ("root", pa.binary()), ("reps", pa.list_(pa.binary()))])
 
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        key = [table[f.name][0].as_py() for f in list(kinds)[:4]]
         roots = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         x, y = near_bags(table["size"].to_numpy(), bag_rows(table["bag"].combine_chunks()), roots, table["lower"].to_numpy(), table["block"].to_numpy(), threshold, nearest)
-        # of all pairs, one that shares several bands counts in the least of them
-        crowded, band = [set(c) for c in table["crowded"].to_pylist()], key[0].as_py()
-        first = np.array([nearest is not None or min(crowded[i] & crowded[j]) == band for i, j in zip(x.tolist(), y.tolist(), strict=True)], bool)
-        x, y = x[first], y[first]
+        if nearest is None and len(x):
+            # of all pairs, one that shares several bands counts in the least of them
+            crowded, band = [set(c) for c in table["crowded"].to_pylist()], key[0]
+            first = np.array([min(crowded[i] & crowded[j]) == band for i, j in zip(x.tolist(), y.tolist(), strict=True)], bool)
+            x, y = x[first], y[first]
         rows, node = np.union1d(x, y), table["node"].combine_chunks()
         ends = np.concatenate([[0], np.searchsorted(x, rows, "right")])  # x ascends
         reps = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), node.take(pa.array(y)))
-        return pa.Table.from_arrays([*(pa.array([k.as_py()] * len(rows), f.type) for k, f in zip(key, kinds, strict=False)), node.take(pa.array(rows)), table["root"].combine_chunks().take(pa.array(rows)), reps], schema=kinds)
-
-    return dealt.groupBy("band", "cell", "i", "j").applyInArrow(compare, "band bigint, cell bigint, i int, j int, node binary, root binary, reps array<binary>")
+        return pa.RecordBatch.from_arrays([*(pa.array([k] * len(rows), f.type) for k, f in zip(key, kinds, strict=False)), node.take(pa.array(rows)), table["root"].combine_chunks().take(pa.array(rows)), reps], schema=kinds)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Compares the rows of each group as soon as the next begins; groups come one after the other."""
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
+            cuts = [0, *(n for n in range(1, len(keys)) if keys[n] != keys[n - 1]), len(keys)]
+            for at, end in zip(cuts, cuts[1:]):
+                if held and keys[at] != last:
+                    if sum(map(len, held)) > 1:
+                        yield compare(pa.Table.from_batches(held).combine_chunks())
+                    held = []
+                held.append(batch.slice(at, end - at))
+                last = keys[at]
+        if sum(map(len, held)) > 1:
+            yield compare(pa.Table.from_batches(held).combine_chunks())
+
+    group = ["band", "cell", "i", "j"]
+    dealt = dealt.select(*group, "node", "root", "size", "lower", "block", "bag", "crowded").repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(groups, "band bigint, cell bigint, i int, j int, node binary, root binary, reps array<binary>")
 
 
 def block_links(groups: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -368,11 +400,10 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """a, b: verified links of distinct texts. Two texts of a band are in one component of them, or were compared.
 
-    A text is the more central, the more texts its bands have. A band's representative is its most central text, later
-    the most central one outside the band's largest component. In a round each text is compared with one of its bands'
-    representatives: the most central, then by turns the least central or the most. Rounds go on as long as they halve
-    the pairs that are left. The texts of crowded bands are then compared with the nearest of their block by their bags,
-    so that most come into one component; at last all pairs of a band whose components differ are compared.
+    A text is the more central, the more texts its bands have. Each text is compared with the most central one that
+    leads one of its bands. While that halves the pairs that are left, the texts of a band are then compared with the
+    nearest of their block by their bags, so that most come into one component; at last all pairs of a band whose
+    components differ are compared.
     """
     rows = groups.select("node", F.explode("bands").alias("band"))
     shared = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
@@ -383,7 +414,7 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
     members = cut(met.select("node", "size", "weight", F.col("node").alias("root"), F.explode("bands").alias("band")), "members")
     central = F.max(F.struct("weight", "node", "size", "root")).alias("top")
     reps = cut(members.groupBy("band").agg(central).select("band", "top.*"), "reps")
-    most, before = PAIRS * met.count(), float("inf")
+    most = PAIRS * met.count()
     tried, found = [], []
 
     def compare(pairs: DataFrame) -> None:
@@ -405,33 +436,20 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
         mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), ((total * total - F.sum(F.col("n").cast("double") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", F.col("largest.root").alias("largest"), "n", "left"), "mixed")
         return own, mixed, mixed.agg(F.sum("left")).first()[0] or 0
 
-    last, turn = False, 0
-    while not last:
-        other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "root", "weight")))
-        near = members.join(other, "band").where((F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold))
-        pick = (F.max if turn % 2 == 0 else F.min)(F.struct("rep_weight", "rep_node"))
-        compare(near.groupBy("node").agg(pick.alias("rep")).select("node", F.col("rep.rep_node").alias("rep")))
-        discard(members, reps)
+    other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "weight")))
+    near = members.join(other, "band").where((F.col("node") != F.col("rep_node")) & alike("size", "rep_size", threshold))
+    compare(near.groupBy("node").agg(F.max(F.struct("rep_weight", "rep_node")).alias("rep")).select("node", F.col("rep.rep_node").alias("rep")))
+    discard(members, reps)
+    members, mixed, left = spread(components(found[0]))
+    before, deal = float("inf"), 1
+    while left > most and left <= before / 2:
+        wide = cut(block_pairs(members.join(mixed.select("band", "largest"), "band"), met, threshold, deal), "block-pairs")
+        compare(wide.select("node", F.explode("reps").alias("rep")))
+        discard(members, mixed, wide)
+        before, deal = left, deal + 1
         members, mixed, left = spread(components(reduce(DataFrame.union, found)))
-        last, before, turn = left <= most or left > before / 2, left, turn + 1
-        if not last:
-            rest = members.join(mixed.select("band", "largest"), "band").where(F.col("root") != F.col("largest"))
-            reps = cut(rest.groupBy("band").agg(central).select("band", "top.*"), "reps")
-            discard(mixed)
-    for deal in (*range(1, DEALS + 1), None):
-        many = members.join(mixed.where(F.col("n") > FEW).select("band", "largest"), "band").select("band", "node", "root", "size", "largest")
-        if deal and left <= most:
-            continue
-        wide = cut(block_pairs(many, met, threshold, deal), "block-pairs")
-        if deal:
-            compare(wide.select("node", F.explode("reps").alias("rep")))
-            discard(members, mixed, wide)
-            members, mixed, left = spread(components(reduce(DataFrame.union, found)))
-            continue
-        small = members.join(mixed.where(F.col("n") <= FEW).select("band"), "band").select("band", "node", "root", "size")
-        other = small.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "root", "size")))
-        close = small.join(other, "band").where((F.col("node") < F.col("rep_node")) & (F.col("root") != F.col("rep_root")) & alike("size", "rep_size", threshold)).select("node", F.col("rep_node").alias("rep"))
-        compare(close)
+    if left:
+        wide = cut(block_pairs(members.join(mixed.select("band", "largest"), "band"), met, threshold), "block-pairs")
         found.append(cut(block_links(wide, texts, threshold), "near-links"))
         discard(wide)
     discard(members, mixed)
