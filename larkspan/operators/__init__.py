@@ -1,9 +1,10 @@
 """Relational operators that Spark lacks or that need care at scale."""
 
+from larkspan.operators.antijoin import not_in
 from larkspan.operators.asof import asof_join
 from larkspan.operators.ranges import interval_join, point_in_range_join
 from larkspan.operators.reshape import melt, qualify, spread
 from larkspan.operators.skew import salted_join
-from larkspan.operators.windows import exclude_current_row, gap_fill, groups_frame, sessionize
+from larkspan.operators.windows import exclude_current_row, exclude_peers, gap_fill, groups_frame, sessionize
 
-__all__ = ["asof_join", "exclude_current_row", "gap_fill", "groups_frame", "interval_join", "melt", "point_in_range_join", "qualify", "salted_join", "sessionize", "spread"]
+__all__ = ["asof_join", "exclude_current_row", "exclude_peers", "gap_fill", "groups_frame", "interval_join", "melt", "not_in", "point_in_range_join", "qualify", "salted_join", "sessionize", "spread"]

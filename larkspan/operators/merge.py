@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,10 @@ def history(changes: DataFrame, on: Sequence[str], time: str, tracked: Sequence[
 
 
 def difference(old: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The keys that differ, with change: insert, delete or update. One shuffle by key."""
+    """The keys that differ, with change: insert, delete or update. One shuffle by key. A null key equals a null key, a null value only a null value."""
     rest = [c for c in new.columns if c not in on]
-    a = old.select(*on, F.xxhash64(*rest).alias("__a"), F.lit(1).alias("__in_a"))
-    b = new.select(*on, F.xxhash64(*rest).alias("__b"), F.lit(1).alias("__in_b"))
-    kind = F.when(F.col("__in_a").isNull(), "insert").when(F.col("__in_b").isNull(), "delete").when(F.col("__a") != F.col("__b"), "update")
-    return a.join(b, list(on), "full").select(*on, kind.alias("change")).where("change IS NOT NULL")
+    a = old.select(*(F.col(c).alias(f"__a{i}") for i, c in enumerate(on)), F.struct(F.lit(1).alias("__in"), *rest).alias("__a"))
+    b = new.select(*(F.col(c).alias(f"__b{i}") for i, c in enumerate(on)), F.struct(F.lit(1).alias("__in"), *rest).alias("__b"))
+    same = reduce(Column.__and__, (F.col(f"__a{i}").eqNullSafe(F.col(f"__b{i}")) for i in range(len(on))))
+    kind = F.when(F.col("__a").isNull(), "insert").when(F.col("__b").isNull(), "delete").when(~F.col("__a").eqNullSafe(F.col("__b")), "update")
+    return a.join(b, same, "full").select(*(F.coalesce(f"__a{i}", f"__b{i}").alias(c) for i, c in enumerate(on)), kind.alias("change")).where("change IS NOT NULL")

@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 
 def point_in_range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float) -> DataFrame:
-    """Inner join on low <= point < high. A range is copied to each bin of `width` that it touches, a point is in one bin."""
-    p = points.withColumn("__bin", F.floor(F.col(point) / width))
-    r = ranges.where(F.col(low) < F.col(high)).withColumn("__bin", F.explode(F.sequence(F.floor(F.col(low) / width), F.ceil(F.col(high) / width) - 1)))
-    return p.join(r, "__bin").where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("__bin")
+    """Inner join on low <= point < high. Bins come in levels, each with bins twice as wide as the level before.
+
+    A range is copied to the bins that it touches on the first level whose bins are as wide as the range: two at most,
+    however wide it is. A point is copied to its bin on each level that ranges have, of which there can be few.
+    """
+    spans = ranges.where(F.col(low) < F.col(high)).withColumn("__level", F.greatest(F.lit(0), F.ceil(F.log2((F.col(high).cast("double") - F.col(low)) / width))).cast("int"))
+    wide = lambda c: F.col(c) / (width * F.pow(F.lit(2.0), F.col("__level")))
+    levels = sorted(r[0] for r in spans.select("__level").distinct().collect())  # about 60 for whole numbers, 2,100 for any doubles
+    r = spans.withColumn("__bin", F.explode(F.sequence(F.floor(wide(low)), F.floor(wide(high)))))
+    p = points.withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("__bin", F.floor(wide(point)))
+    return p.join(r, ["__level", "__bin"]).where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("__level", "__bin")
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, before_s: int, after_s: int) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspan.streaming.run import checkpoint_folder
+
 
 #: Most keys that are broadcast as hot.
 HOT_KEYS = 100_000
@@ -24,8 +26,13 @@ def salted_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], per_part:
     parts = facts.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("__parts")).where("__parts > 1")
     if parts.limit(HOT_KEYS + 1).count() > HOT_KEYS:
         return facts.join(dims, list(on), how)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.coalesce("__parts", F.lit(1)))
+    # numbered and written before the join: equal rows get different salts, and a retried task finds the same ones
+    path = checkpoint_folder(facts.sparkSession)
+    numbered = facts.withColumn("__row", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    facts = facts.sparkSession.read.schema(numbered.schema).parquet(path)
+    salt = F.pmod(F.xxhash64("__row"), F.coalesce("__parts", F.lit(1)))
     # HOT_KEYS rows at most
-    left = facts.join(F.broadcast(parts), list(on), "left").withColumn("__salt", salt).drop("__parts")
+    left = facts.join(F.broadcast(parts), list(on), "left").withColumn("__salt", salt).drop("__parts", "__row")
     right = dims.join(F.broadcast(parts), list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)).cast("bigint") - 1))).drop("__parts")
     return left.withColumn("__salt", F.col("__salt").cast("bigint")).join(right, [*on, "__salt"], how).drop("__salt")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ def exclude_current_row(df: DataFrame, keys: Sequence[str], value: str, name: st
     return df.withColumn(name, F.when(others > 0, F.sum(value).over(w) - F.coalesce(F.col(value), F.lit(0))))
 
 
+def exclude_peers(df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, ties_only: bool = False) -> DataFrame:
+    """Sum over the partition EXCLUDE GROUP (without the row and its peers) or, with ties_only, EXCLUDE TIES (without its peers); null if no value is left."""
+    whole, peers = Window.partitionBy(*keys), Window.partitionBy(*keys, order)
+    own, own_n = (F.coalesce(F.col(value), F.lit(0)), F.when(F.col(value).isNotNull(), 1).otherwise(0)) if ties_only else (F.lit(0), F.lit(0))
+    left = F.count(value).over(whole) - F.count(value).over(peers) + own_n
+    return df.withColumn(name, F.when(left > 0, F.sum(value).over(whole) - F.coalesce(F.sum(value).over(peers), F.lit(0)) + own))
+
+
 def sessionize(df: DataFrame, key: str, time: str, gap_s: int, name: str = "session") -> DataFrame:
     """Numbers each key's sessions from 1: one ends with a pause over gap_s seconds."""
     w = Window.partitionBy(key).orderBy(time)
@@ -31,9 +40,11 @@ def sessionize(df: DataFrame, key: str, time: str, gap_s: int, name: str = "sess
 
 
 def gap_fill(df: DataFrame, keys: Sequence[str], bucket: str, step: str, values: Sequence[str]) -> DataFrame:
-    """A row for each bucket between a key's first and last; missing values carry the last one forward (LOCF)."""
+    """A row for each bucket between a key's first and last; missing values carry the last one forward (LOCF). A null key is a key like others."""
     spans = df.groupBy(*keys).agg(F.min(bucket).alias("__a"), F.max(bucket).alias("__b"))
     grid = spans.select(*keys, F.explode(F.sequence("__a", "__b", F.expr(f"INTERVAL {step}"))).alias(bucket))
     w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = grid.join(df, [*keys, bucket], "left")
+    own = df.select(*(F.col(c).alias(f"__{c}") for c in (*keys, bucket)), *values)
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*keys, bucket)))
+    full = grid.join(own, same, "left")
     return full.select(*keys, bucket, *(F.last(v, ignorenulls=True).over(w).alias(v) for v in values))

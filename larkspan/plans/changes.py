@@ -78,9 +78,9 @@ def tolerant_casts(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.split_part("p_brand", F.lit("#"), F.lit(2)).try_cast("bigint").alias("brand"), F.col("p_type").try_cast("bigint").alias("none"))
 
 
-@query("SELECT event_type, string_agg(user_id::VARCHAR, ',' ORDER BY user_id) AS users FROM (SELECT DISTINCT event_type, user_id FROM events WHERE user_id < 40) GROUP BY ALL")
+@query("SELECT event_type, string_agg(user_id::VARCHAR, ',' ORDER BY user_id) AS users FROM (SELECT DISTINCT event_type, user_id FROM events) GROUP BY ALL")
 def agg_listagg(t: Tables) -> DataFrame:
-    t.events.select("event_type", "user_id").where("user_id < 40").distinct().createOrReplaceTempView("larkspan_users")
+    t.events.select("event_type", "user_id").distinct().createOrReplaceTempView("larkspan_users")
     return t.spark.sql("SELECT event_type, listagg(cast(user_id AS string), ',') WITHIN GROUP (ORDER BY user_id) AS users FROM larkspan_users GROUP BY event_type")
 
 

@@ -10,7 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from larkspan.functions import cosine, dot, l2_distance, merge_distinct
-from larkspan.operators import asof_join, exclude_current_row, gap_fill, groups_frame, interval_join, melt, point_in_range_join, qualify, salted_join, sessionize, spread
+from larkspan.operators import asof_join, exclude_current_row, exclude_peers, gap_fill, groups_frame, interval_join, melt, not_in, point_in_range_join, qualify, salted_join, sessionize, spread
+from larkspan.operators.merge import difference
 from larkspan.sources import FORMATS, round_trip
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -96,3 +97,44 @@ def test_vectors_and_sketches(spark):
 def test_formats_keep_awkward_values(spark, kind, tmp_path):
     df = spark.createDataFrame([(1, 'a "quoted", line', 1.5), (2, "é漢", None), (3, "plain", -0.25)], "i int, s string, x double")
     assert sorted(map(tuple, round_trip(df, str(tmp_path), kind).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_difference_of_nulls(spark):
+    old = spark.createDataFrame([(1, None, "x"), (None, "a", "b"), (2, "q", None), (3, "z", "z")], "k int, a string, b string")
+    new = spark.createDataFrame([(1, "x", None), (None, "a", "b"), (2, "q", None), (4, "n", "n")], "k int, a string, b string")
+    assert sorted(map(tuple, difference(old, new, ["k"]).collect())) == [(1, "update"), (3, "delete"), (4, "insert")]
+
+
+def test_gaps_of_a_null_key(spark):
+    hours = spark.createDataFrame([(None, at(0), 1.0), (None, at(120), 5.0)], "k string, h timestamp, v double")
+    assert [r["v"] for r in gap_fill(hours, ["k"], "h", "1 hour", ["v"]).orderBy("h").collect()] == [1.0, 1.0, 5.0]
+
+
+def test_salt_splits_equal_rows(spark):
+    """A hot key whose rows are all equal is dealt to many tasks, and maps are no obstacle."""
+    facts = spark.range(1000).selectExpr("1 AS k", "map('a', 1) AS m")
+    dims = spark.createDataFrame([(1, "one")], "k int, d string")
+    joined = salted_join(facts, dims, ["k"], per_part=100)
+    assert joined.count() == 1000 and joined.columns == ["k", "m", "d"]
+    salted = next(x for x in joined._jdf.queryExecution().analyzed().toString().split("\n") if "__salt" in x)
+    assert "__row" in joined._jdf.queryExecution().analyzed().toString() and salted
+
+
+def test_very_wide_ranges(spark):
+    points = spark.createDataFrame([(i, float(i * 1000)) for i in range(-5, 6)], "p int, x double")
+    ranges = spark.createDataFrame([(0, -1e15, 1e15), (1, 0.0, 1000.0), (2, -2000.5, 3.5e9), (3, 1.0, 1.0)], "r int, low double, high double")
+    got = Counter((r["p"], r["r"]) for r in point_in_range_join(points, ranges, "x", "low", "high", 1.0).collect())
+    assert got == Counter((p["p"], r["r"]) for p in points.collect() for r in ranges.collect() if r["low"] <= p["x"] < r["high"])
+
+
+def test_not_in_and_nulls(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    right = lambda *v: spark.createDataFrame([(x,) for x in v], "b int")
+    got = lambda r: [x["a"] for x in not_in(left, "a", r, "b").collect()]
+    assert got(right(1)) == [2] and got(right(1, None)) == [] and sorted(got(right()), key=str) == [1, 2, None]
+
+
+def test_exclude_peers(spark):
+    df = spark.createDataFrame([("a", 1, 10), ("a", 1, 20), ("a", 2, 30), ("b", 1, 7)], "k string, o int, v int")
+    assert Counter((r["v"], r["s"]) for r in exclude_peers(df, ["k"], "o", "v", "s").collect()) == Counter([(10, 30), (20, 30), (30, 30), (7, None)])
+    assert Counter((r["v"], r["s"]) for r in exclude_peers(df, ["k"], "o", "v", "s", ties_only=True).collect()) == Counter([(10, 40), (20, 50), (30, 60), (7, 7)])
