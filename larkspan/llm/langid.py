@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +24,14 @@ SIZES, BITS = (2, 3, 4), 16
 SAMPLE, ROWS = 250, 16_000
 #: Most words of a row to learn from, in pieces of PIECE words that lie evenly over its text, and characters of a word.
 WORDS, PIECE, LETTERS = 400, 25, 40
-CHUNK = 500_000
+CHUNK = 2_000_000
 UNKNOWN = "und"
-NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(words: list[str]) -> list[str]:
     """Lower-case letters of each word; empty if it has none."""
-    return [NOT_LETTERS.sub("", w).lower() for w in words]
+    # isalpha() is Unicode's category L, of a character or of all characters of a word
+    return [w.lower() if w.isalpha() else "".join(filter(str.isalpha, w)).lower() for w in words]
 
 
 def chains(lens: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
