@@ -45,6 +45,12 @@ def chains(lens: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return lane, first, np.array([h for h, k in sorted(heap, key=lambda x: x[1])])
 
 
+def close(begins: np.ndarray, held: np.ndarray) -> None:
+    """Lets something begin after the last sequence of each lane, so that nothing flows back from the padding."""
+    short = np.flatnonzero(held < len(begins))
+    begins[held[short], short] = True
+
+
 def forward_backward(emit: np.ndarray, begins: np.ndarray, start: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """emit: steps x lanes x labels, potentials. begins: steps x lanes, where a new sequence starts. Scaled forward and backward vectors, and the scales."""
     steps, lanes, k = emit.shape
@@ -136,6 +142,7 @@ class ChainModel:
                 grid, gold, begins = np.zeros((steps, lanes), np.int64), np.full((steps, lanes), -1), np.zeros((steps, lanes), bool)
                 for (s, y), p, q in zip(seqs, lane, first, strict=True):
                     grid[q : q + len(s), p], gold[q : q + len(s), p], begins[q, p] = s, y, True
+                close(begins, held)
                 real = gold >= 0
                 own, back = np.unique(grid, return_inverse=True)
                 sizes = begin[own + 1] - begin[own]
@@ -192,6 +199,7 @@ class ChainModel:
         emit[row, col] = table[seq]
         begins = np.zeros((steps, wide), bool)
         begins[first, lane] = True
+        close(begins, held)
         ahead, behind, _ = forward_backward(emit, begins, np.exp(self.start), np.exp(self.move))
         p = ahead[row, col] * behind[row, col]
         return p / p.sum(1, keepdims=True), starts, kept

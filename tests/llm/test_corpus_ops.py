@@ -369,6 +369,52 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(p[:, 0], want / want.sum(1, keepdims=True))
 
 
+def test_chain_gradients():
+    """fit() against AdaGrad steps by numeric gradients of the log-likelihood, whose normalizer sums over all label paths."""
+    rows = [("abc cde abc efg", "x"), ("ghi abc ijk", "y"), ("klm ghi mno cde", "z")]
+    got = langid.ChainModel.fit(rows, epochs=2)
+    rng, k = np.random.default_rng(7), 3
+    for _ in rows:
+        rng.integers(8, 40)  # texts this short are one piece each
+    words = sorted({w for t, _ in rows for w in t.split()})
+    word, bucket = got.features(words)
+    feats = np.unique(bucket)
+    counts = np.zeros((len(words), len(feats)))
+    np.add.at(counts, (word, np.searchsorted(feats, bucket)), 1)
+    pieces = [([words.index(w) for w in t.split()], got.langs.index(lang)) for t, lang in rows]
+    shapes = [(len(feats), k), (k,), (k, k)]
+    sizes = np.cumsum([0, *(int(np.prod(x)) for x in shapes)])
+
+    def likelihood(params, seqs):
+        w, start, move = (params[a:b].reshape(x) for a, b, x in zip(sizes[:-1], sizes[1:], shapes, strict=True))
+        total = 0.0
+        for seq, gold in seqs:
+            emit = counts[seq] @ w
+            paths = np.array(np.meshgrid(*[np.arange(k)] * len(seq))).reshape(len(seq), -1).T
+            score = lambda y: start[y[:, 0]] + emit[np.arange(len(seq)), y].sum(1) + move[y[:, :-1], y[:, 1:]].sum(1)  # noqa: B023, E731
+            total += score(np.array([gold]))[0] - np.logaddexp.reduce(score(paths))
+        return total
+
+    params = np.concatenate([np.zeros(sizes[2]), np.eye(k).ravel()])
+    square = np.full(len(params), 1e-3)
+    for _ in range(2):
+        mix = rng.permutation(len(pieces))
+        seqs = [(sum((pieces[j][0] for j in g), []), sum(([pieces[j][1]] * len(pieces[j][0]) for j in g), [])) for g in (mix[:2], mix[2:])]
+        steps = np.eye(len(params)) * 1e-5
+        g = np.array([(likelihood(params + d, seqs) - likelihood(params - d, seqs)) / 2e-5 for d in steps])
+        g[: sizes[1]] -= 1e-4 * params[: sizes[1]]
+        square += g * g
+        params = params + 0.3 * g / np.sqrt(square)
+    want = [params[a:b].reshape(x) for a, b, x in zip(sizes[:-1], sizes[1:], shapes, strict=True)]
+    for a, b in zip((got.weights[feats], got.start, got.move), want, strict=True):
+        assert np.allclose(a, b, atol=1e-4)
+    assert not np.delete(got.weights, feats, 0).any()
+    texts = ["abc ghi zzz", "klm " * 9, "cde", "", "mno efg " * 20]
+    together = got.predict_texts(pa.array(texts))
+    alone = [got.predict_texts(pa.array([t])) for t in texts]
+    assert together[0] == [x[0] for x, _ in alone] and np.allclose(together[1], [y[0] for _, y in alone], atol=1e-12)
+
+
 def test_language_edges_and_switches(spark, documents):
     model = langid.learn(documents)
     by = {r["lang"]: r["text"] for r in documents.where("n_chars > 400").dropDuplicates(["lang"]).collect()}
@@ -411,3 +457,51 @@ def test_pipeline(spark, documents):
     assert all(r["class_size"] == 1 for r in classes)
     rows = corpus_pipeline.run(spark, SF01).collect()
     assert {r["doc_id"] for r in rows} == kept and len(rows) == len(kept)
+
+
+def test_pipeline_equals_plain_version(spark):
+    """The whole pipeline over a small table, with odd rows, against plain Python; the trained scores are the model's own."""
+    from tokenizers import Tokenizer
+
+    own = spark.read.parquet(f"{SF01}/documents.parquet").where("n_chars < 1500").orderBy("doc_id").limit(150).collect()
+    items = [r["text"] for r in spark.read.parquet(f"{SF01}/benchmark.parquet").orderBy("item_id").limit(12).collect()]
+    rows = [tuple(r) for r in own]
+    prose = [r["text"] for r in own if len(r["text"].split()) > 60][:6]
+    rows += [(10_000 + i, f"{t} once more", "en", f"s{i}", 0) for i, t in enumerate(prose)]
+    rows += [(10_100 + i, f"Shared by all sites\n{prose[0]} {i}", "en", f"t{i}", 0) for i in range(12)]
+    rows += [(10_200 + i, f"{prose[1]} {t} {prose[2]}", "en", "u", 0) for i, t in enumerate(items)]
+    rows += [(10_300, None, None, None, None), (10_301, "", "en", "u", 0), rows[0]]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = quality.learn(docs, spark.read.parquet(f"{SF01}/labels.parquet"))
+    left = [(r, r[1]) for r in rows]
+    left = [x for x, s in zip(left, model.score_texts(pa.array([t or "" for _, t in left], pa.large_string())), strict=True) if s >= 0.7]
+
+    sites = defaultdict(set)
+    for r, t in left:
+        for line in (t or "").split("\n"):
+            sites[line.strip(" ")].add(r[3] or "")
+    common = {line for line, own_sites in sites.items() if line and len(own_sites) >= 10}
+    left = [(r, t if t is None else "\n".join(x for x in t.split("\n") if x.strip(" ") not in common)) for r, t in left]
+
+    words = [(t or "").lower().split() for _, t in left]
+    near = [(i, j) for i in range(len(left)) for j in range(i) if words[i] == words[j] or (min(len(words[i]), len(words[j])) >= 0.8 * max(len(words[i]), len(words[j])) and plainly_near(words[i], words[j]))]
+    firsts = {}
+    for n, c in components_of(range(len(left)), near).items():
+        firsts[c] = min(firsts.get(c, n), n, key=lambda x: left[x][0][0])
+    left = [left[n] for n in firsts.values()]
+
+    clean = lambda s: " ".join("".join(c if c.isalnum() else " " for c in s.lower()).split())
+    bench = [clean(t) for t in items]
+    left = [(r, t) for r, t in left if not any(edit_distance_within(f" {b} ", f" {clean(t or '')} ") <= int(0.08 * len(b)) for b in bench)]
+    library = Tokenizer.from_file(corpus_pipeline.tokenizer_path())
+    library.no_truncation()
+    library.no_padding()
+    want = Counter((r[0], r[2], r[3], len(library.encode(t or "", add_special_tokens=False).ids)) for r, t in left)
+
+    with pytest.MonkeyPatch.context() as patch:
+        real = corpus_pipeline.load
+        tables = {"documents": docs, "benchmark": spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")}
+        patch.setattr(corpus_pipeline, "load", lambda s, d, name: tables[name] if name in tables else real(s, d, name))
+        got = Counter((r["doc_id"], r["lang"], r["source"], r["n_tokens"]) for r in corpus_pipeline.run(spark, SF01).collect())
+    assert got == want, (list((got - want).items())[:5], list((want - got).items())[:5])
+    assert len(want) < len(rows) - 20
