@@ -1,12 +1,18 @@
-"""Maps, generators, hints, partitions, intervals, table functions, mergeable sketches and exclusions."""
+"""Maps, generators, hints, partitions, intervals, table functions, scripts, mergeable sketches, exclusions, Arrow functions, text and binary files."""
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspan.operators import exclude_peers
 from larkspan.plans.registry import query
+from larkspan.streaming.run import checkpoint_folder
 from larkspan.tables import Tables
 
 
@@ -89,3 +95,81 @@ _FRAME = "PARTITION BY p_brand ORDER BY p_size ROWS BETWEEN UNBOUNDED PRECEDING
 def window_exclude_peers(t: Tables) -> DataFrame:
     rows = exclude_peers(t.part, ["p_brand"], "p_size", "p_partkey", "others")
     return exclude_peers(rows, ["p_brand"], "p_size", "p_partkey", "no_ties", ties_only=True).select("p_partkey", "others", "no_ties")
+
+
+@query("SELECT p_size::DOUBLE AS x, count(*)::DOUBLE AS n FROM part GROUP BY ALL")
+def agg_histogram(t: Tables) -> DataFrame:
+    """Exact, as there are no more sizes than bins."""
+    bins = t.part.agg(F.histogram_numeric("p_size", F.lit(100)).alias("bins")).select(F.inline("bins"))
+    return bins.select(F.col("x").cast("double").alias("x"), F.col("y").alias("n"))
+
+
+@query("SELECT n_nationkey, rank FROM (SELECT n_nationkey, rank() OVER (ORDER BY n_regionkey)::BIGINT AS rank FROM nation) WHERE rank > 5")
+def sql_script(t: Tables) -> DataFrame:
+    """Statements with a variable and a loop; the last one's rows are the result."""
+    t.nation.createOrReplaceTempView("larkspan_nation")
+    return t.spark.sql("""BEGIN
+        DECLARE least INT DEFAULT 0;
+        WHILE least < 5 DO SET least = least + 1; END WHILE;
+        SELECT n_nationkey, place AS rank FROM (SELECT n_nationkey, CAST(rank() OVER (ORDER BY n_regionkey) AS BIGINT) AS place FROM larkspan_nation) WHERE place > least;
+    END""")
+
+
+@query(None)
+def sample_table(t: Tables) -> DataFrame:
+    """A repeatable Bernoulli sample of a tenth of the rows."""
+    t.orders.createOrReplaceTempView("larkspan_orders")
+    return t.spark.sql("SELECT o_orderkey FROM larkspan_orders TABLESAMPLE (10 PERCENT) REPEATABLE (7)")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%H:%M:%S') AS clock FROM orders")
+def scalar_clock(t: Tables) -> DataFrame:
+    return t.orders.select("o_orderkey", F.date_format("o_orderdate", "HH:mm:ss").alias("clock"))
+
+
+@query("SELECT props AS value, count(*) AS n FROM events GROUP BY ALL")
+def file_text(t: Tables) -> DataFrame:
+    """Lines of text files."""
+    path = f"{checkpoint_folder(t.spark)}/text-{uuid.uuid4().hex}"
+    t.events.select("props").write.text(path)
+    return t.spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT r_regionkey::INT AS r_regionkey, r_name, (length(r_name) + 1)::BIGINT AS bytes FROM region")
+def file_binary(t: Tables) -> DataFrame:
+    """Whole files as bytes, a file a region."""
+    path = f"{checkpoint_folder(t.spark)}/binary-{uuid.uuid4().hex}"
+    t.region.repartition("r_regionkey").write.partitionBy("r_regionkey").text(path)
+    rows = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return rows.select("r_regionkey", F.rtrim(F.translate(F.decode("content", "UTF-8"), "\n", " ")).alias("r_name"), F.col("length").alias("bytes"))
+
+
+@F.arrow_udf(T.LongType())
+def _squares(x: pa.Array) -> pa.Array:
+    return pc.multiply(x, x)
+
+
+@query("SELECT p_partkey, (p_partkey * p_partkey)::BIGINT AS square FROM part")
+def udf_arrow(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", _squares("p_partkey").alias("square"))
+
+
+def _largest(batch: pa.Table) -> pa.Table:
+    at = pc.sort_indices(batch, [("c_acctbal", "descending"), ("c_custkey", "ascending")])
+    return batch.take(at[:1]).select(["c_nationkey", "c_custkey"])
+
+
+@query("SELECT c_nationkey, c_custkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) = 1")
+def udf_arrow_grouped(t: Tables) -> DataFrame:
+    return t.customer.select("c_nationkey", "c_custkey", "c_acctbal").groupBy("c_nationkey").applyInArrow(_largest, "c_nationkey int, c_custkey bigint")
+
+
+@F.udf(T.StringType())
+def _initials(name: str) -> str:
+    return "".join(w[0] for w in (name or "").replace("_", " ").split())
+
+
+@query("SELECT n_nationkey, 'N' || substr(split_part(n_name, '_', 2), 1, 1) AS initials FROM nation")
+def udf_row(t: Tables) -> DataFrame:
+    """A row at a time: the slow form, for a small table."""
+    return t.nation.select("n_nationkey", _initials("n_name").alias("initials"))

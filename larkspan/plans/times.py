@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from larkspan.functions import exact, time_bucket
 from larkspan.operators import gap_fill
 from larkspan.plans.registry import query
-from larkspan.streaming import drain, event_stream, interval_joined, running_totals, sliding, tumbling, unique_events
+from larkspan.streaming import drain, event_stream, interval_joined, running_counts, running_totals, sliding, tumbling, unique_events
 from larkspan.streaming import sessions as session_windows
+from larkspan.streaming.state import rocks
 from larkspan.tables import Tables
 
 TUMBLING = "SELECT (epoch(ts)::BIGINT - epoch(ts)::BIGINT % 3600)::BIGINT AS start_s, event_type, count(*) AS n, sum(value::DECIMAL(18,2))::DOUBLE AS total FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events) GROUP BY ALL"
@@ -75,3 +76,16 @@ def stream_state(t: Tables) -> DataFrame:
     """The last state of each user: with several batches a user has several updates, of which the largest count is the last."""
     rows = drain(running_totals(event_stream(t.spark, t.path)), "update")
     return rows.groupBy("user_id").agg(F.max("n").alias("n"), F.max_by("cents", "n").alias("cents"))
+
+
+@query(SESSIONS)
+def stream_sessions(t: Tables) -> DataFrame:
+    return drain(session_windows(event_stream(t.spark, t.path)), "complete")
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY ALL")
+def stream_processor(t: Tables) -> DataFrame:
+    """The last count of each user; with several batches a user has several updates, of which the largest is the last."""
+    with rocks(t.spark):
+        rows = drain(running_counts(event_stream(t.spark, t.path)), "update")
+    return rows.groupBy("user_id").agg(F.max("n").alias("n"))

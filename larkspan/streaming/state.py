@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def _add(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -22,3 +26,34 @@ def running_totals(events: DataFrame) -> DataFrame:
     """After each batch, the count and sum so far of each user that it has rows of. The state is two numbers a user."""
     rows = events.selectExpr("user_id", "cast(round(value * 100) as bigint) AS cents")
     return rows.groupBy("user_id").applyInPandasWithState(_add, "user_id bigint, n bigint, cents bigint", "n bigint, cents bigint", "update", GroupStateTimeout.NoTimeout)
+
+
+class Counter(StatefulProcessor):
+    """The rows of each key so far."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "n bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:
+        n = (self.seen.get()[0] if self.seen.exists() else 0) + sum(map(len, rows))
+        self.seen.update((n,))
+        yield pd.DataFrame({"user_id": [key[0]], "n": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+def running_counts(events: DataFrame) -> DataFrame:
+    """As running_totals, counts only, by a stateful processor; it needs rocks()."""
+    return events.select("user_id").groupBy("user_id").transformWithStateInPandas(Counter(), "user_id bigint, n bigint", "update", "none")
+
+
+@contextmanager
+def rocks(spark: SparkSession) -> Iterator[None]:
+    """The session keeps state in RocksDB, which stateful processors need, for as long."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)

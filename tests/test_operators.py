@@ -138,3 +138,21 @@ def test_exclude_peers(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 1, 20), ("a", 2, 30), ("b", 1, 7)], "k string, o int, v int")
     assert Counter((r["v"], r["s"]) for r in exclude_peers(df, ["k"], "o", "v", "s").collect()) == Counter([(10, 30), (20, 30), (30, 30), (7, None)])
     assert Counter((r["v"], r["s"]) for r in exclude_peers(df, ["k"], "o", "v", "s", ties_only=True).collect()) == Counter([(10, 40), (20, 50), (30, 60), (7, 7)])
+
+
+def test_table_sample_is_repeatable(spark, data):
+    from larkspan.plans import QUERIES
+
+    first, again = ([r[0] for r in QUERIES["sample_table"](spark, data).collect()] for _ in range(2))
+    orders = {r[0] for r in spark.read.parquet(f"{data}/orders.parquet").select("o_orderkey").collect()}
+    assert first == again and len(first) == len(set(first)) and set(first) <= orders
+    assert 0.05 < len(first) / len(orders) < 0.15
+
+
+def test_state_provider_is_restored(spark):
+    from larkspan.streaming.state import PROVIDER, rocks
+
+    before = spark.conf.get(PROVIDER, None)
+    with rocks(spark):
+        assert "RocksDB" in spark.conf.get(PROVIDER)
+    assert spark.conf.get(PROVIDER, None) == before
