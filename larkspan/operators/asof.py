@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DAY = 86_400
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], time: str, right_time: str | None = None, tie: Sequence[str] = (), values: Sequence[str] = (), strict: bool = False, tolerance: str | None = None, bucket_s: int | None = None) -> DataFrame:
@@ -15,11 +18,13 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], time: str, r
     largest by `tie` counts. Rows without a match, with a null key or a null time get nulls. tolerance: an interval
     such as "5 minutes", beyond which a match is too old.
 
-    bucket_s splits each key's rows by time, for timestamps and keys too large for one task: buckets of so many seconds
-    are dealt out by themselves, and each gets the last right row of the earlier ones, which an aggregate of one row for
-    each key and bucket finds.
+    bucket_s splits each key's rows by time, for keys too large for one task: buckets of so many seconds are dealt out by
+    themselves, and each gets the last right row of the earlier ones, which an aggregate of one row for each key and
+    bucket finds. Timestamps and dates have buckets of a day unless it is given; 0 and other types of time have none.
     """
     right_time = right_time or time
+    if bucket_s is None and isinstance(left.schema[time].dataType, T.TimestampType | T.TimestampNTZType | T.DateType):
+        bucket_s = DAY
     packed = F.struct(F.col(right_time).alias("__t"), *(F.col(c).alias(f"__tie{i}") for i, c in enumerate(tie)), *(F.col(c).alias(f"__v{i}") for i, c in enumerate(values)))
     a = left.select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(on)), F.col(time).alias("__time"), F.lit(0 if strict else 1).alias("__side"), F.struct(*left.columns).alias("__left"))
     b = right.where(F.col(right_time).isNotNull()).select(*(F.col(c).alias(f"__k{i}") for i, c in enumerate(on)), F.col(right_time).alias("__time"), F.lit(1 if strict else 0).alias("__side"), packed.alias("__right"))

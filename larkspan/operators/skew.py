@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspan.streaming.run import checkpoint_folder
@@ -12,27 +13,32 @@ from larkspan.streaming.run import checkpoint_folder
 
 #: Most keys that are broadcast as hot.
 HOT_KEYS = 100_000
+#: Salts of facts with a null key.
+NULL_PARTS = 4096
 
 
 def salted_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], per_part: int = 100_000, how: str = "inner") -> DataFrame:
     """Joins facts to dims (inner, left, left_semi or left_anti) with each key's facts split into parts of about per_part rows.
 
     Only the dims of keys with more facts than that are copied, once for each part. The counts are an aggregate that
-    Spark combines before its shuffle. With more than HOT_KEYS such keys none stands out, and a plain join, whose large
-    partitions adaptive execution splits, does as well.
+    Spark combines before its shuffle; they are broadcast while there are HOT_KEYS of them at most, and beyond that are
+    joined by a shuffle, of which adaptive execution splits large partitions. Facts with a null key meet no dims and are
+    dealt out evenly.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
-    parts = facts.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("__parts")).where("__parts > 1")
-    if parts.limit(HOT_KEYS + 1).count() > HOT_KEYS:
-        return facts.join(dims, list(on), how)
+    spark, folder = facts.sparkSession, checkpoint_folder(facts.sparkSession)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    parts = written(facts.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / per_part).cast("int").alias("__parts")).where("__parts > 1"), "parts")
+    hot = F.broadcast(parts) if parts.count() <= HOT_KEYS else parts.hint("merge")
     # numbered and written before the join: equal rows get different salts, and a retried task finds the same ones
-    path = checkpoint_folder(facts.sparkSession)
-    numbered = facts.withColumn("__row", F.monotonically_increasing_id())
-    numbered.write.parquet(path)
-    facts = facts.sparkSession.read.schema(numbered.schema).parquet(path)
-    salt = F.pmod(F.xxhash64("__row"), F.coalesce("__parts", F.lit(1)))
-    # HOT_KEYS rows at most
-    left = facts.join(F.broadcast(parts), list(on), "left").withColumn("__salt", salt).drop("__parts", "__row")
-    right = dims.join(F.broadcast(parts), list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)).cast("bigint") - 1))).drop("__parts")
-    return left.withColumn("__salt", F.col("__salt").cast("bigint")).join(right, [*on, "__salt"], how).drop("__salt")
+    facts = written(facts.withColumn("__row", F.monotonically_increasing_id()), "facts")
+    row, no_key = F.xxhash64("__row"), reduce(Column.__or__, (F.col(c).isNull() for c in on))
+    salt = F.when(no_key, -1 - F.pmod(row, F.lit(NULL_PARTS))).otherwise(F.pmod(row, F.coalesce("__parts", F.lit(1))))
+    left = facts.join(hot, list(on), "left").withColumn("__salt", salt.cast("bigint")).drop("__parts", "__row")
+    right = dims.join(hot, list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)).cast("bigint") - 1))).drop("__parts")
+    return left.join(right, [*on, "__salt"], how).drop("__salt")

@@ -31,6 +31,7 @@ def test_asof_edges(spark):
     assert got(strict=True) == {1: "x", 2: None, 3: None, 4: None, 5: None, 6: "z"}
     assert got(bucket_s=60) == got(bucket_s=3600) == got(bucket_s=420) == got()
     assert got(bucket_s=300, strict=True) == got(strict=True)
+    assert got(bucket_s=0) == got() and got(bucket_s=0, strict=True) == got(strict=True)
     assert got(tolerance="20 minutes") == {1: "z", 2: "x", 3: None, 4: None, 5: None, 6: None}
     assert asof_join(left, right.limit(0), ["k"], "t", values=["v"]).where("v IS NULL").count() == 6
     assert asof_join(left.limit(0), right, ["k"], "t", values=["v"]).count() == 0
@@ -156,3 +157,14 @@ def test_state_provider_is_restored(spark):
     with rocks(spark):
         assert "RocksDB" in spark.conf.get(PROVIDER)
     assert spark.conf.get(PROVIDER, None) == before
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_with_many_hot_keys_and_null_keys(spark, how, monkeypatch):
+    from larkspan.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_KEYS", 1)
+    facts = spark.createDataFrame([(i % 3 if i % 2 else None, i) for i in range(300)] + [(7, 7), (7, 7)], "k int, v int")
+    dims = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (None, "n")], "k int, d string")
+    got = Counter(salted_join(facts, dims, ["k"], per_part=20, how=how).collect())
+    assert got == Counter(facts.join(dims, "k", how).collect())
