@@ -164,7 +164,7 @@ def udf_arrow_grouped(t: Tables) -> DataFrame:
     return t.customer.select("c_nationkey", "c_custkey", "c_acctbal").groupBy("c_nationkey").applyInArrow(_largest, "c_nationkey int, c_custkey bigint")
 
 
-@F.udf(T.StringType())
+@F.udf(returnType=T.StringType(), useArrow=False)
 def _initials(name: str) -> str:
     return "".join(w[0] for w in (name or "").replace("_", " ").split())
 

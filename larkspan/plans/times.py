@@ -89,3 +89,10 @@ def stream_processor(t: Tables) -> DataFrame:
     with rocks(t.spark):
         rows = drain(running_counts(event_stream(t.spark, t.path)), "update")
     return rows.groupBy("user_id").agg(F.max("n").alias("n"))
+
+
+@query("SELECT range::BIGINT AS value, range % 7 = 0 AS seventh FROM range(1000)")
+def stream_rate(t: Tables) -> DataFrame:
+    """The counter source, of one batch."""
+    ticks = t.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1000).option("numPartitions", 4).load()
+    return drain(ticks.select("value", (F.col("value") % 7 == 0).alias("seventh")))
