@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspan.llm import blobscan, bpe, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens
+from larkspan.llm import blobscan, bpe, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens, vptree
 from larkspan.llm.common import load
 
 
@@ -57,6 +58,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan_documents(load(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is labelled as of the next class."""
+    vectors = load(spark, sf_dir, "embeddings")
+    return vptree.mine(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secrets": op2_secrets,
@@ -68,9 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_language": op9_language,
     "op10_personal_data": op10_personal_data,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op2_secrets": blobscan.oracle(),
     "op6_line_dedup": linedup.oracle_text(),
+    "op11_hard_negatives": vptree.oracle(),
 }
