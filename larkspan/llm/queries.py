@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import blobscan, bpe, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens, vptree
+from larkspan.llm import blobscan, bpe, covertree, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens, vptree
 from larkspan.llm.common import load
 
 
@@ -64,6 +64,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.mine(vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.link(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secrets": op2_secrets,
@@ -76,10 +80,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_personal_data": op10_personal_data,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_embedding_dedup": op12_embedding_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op2_secrets": blobscan.oracle(),
     "op6_line_dedup": linedup.oracle_text(),
     "op11_hard_negatives": vptree.oracle(),
+    "op12_embedding_dedup": covertree.oracle(),
 }
