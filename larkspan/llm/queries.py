@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import blobscan, bpe, covertree, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens, vptree
+from larkspan.llm import blobscan, bpe, covertree, decontam, langid, linedup, orderdup, permindex, pii, quality, tokens, tput, vptree
 from larkspan.llm.common import load
 
 
@@ -68,6 +68,10 @@ def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.link(load(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tput.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secrets": op2_secrets,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal_data": op10_personal_data,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -88,4 +93,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": linedup.oracle_text(),
     "op11_hard_negatives": vptree.oracle(),
     "op12_embedding_dedup": covertree.oracle(),
+    "op13_ranked_search": tput.oracle(),
 }
