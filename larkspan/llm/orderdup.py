@@ -5,6 +5,11 @@ and keeps these in text order, so that texts agree in a sketch as their order of
 the edit distance. Texts that agree in a sketch share a band. Two texts of a band are linked, if the banded alignment of
 their words confirms a similarity of THRESHOLD: 1 - edits / words of the longer text. Classes are the links' components.
 
+Where few k-mers make chance large, shorter ones help: texts of SMALL words at most have sketches of FINE words, too. For
+texts of TINY words at most the search is exact: of the longer of two texts cut into one piece more than its budget of
+edits, one piece at least stands unchanged in the other, shifted by no more than the edits beside it; each such piece
+with its place is a band, too.
+
 The texts of a band are compared with its most central one first. Those that are not yet in one component are compared
 with each other, in pairs of blocks where the band has many; the texts' word counts spare the alignment of most pairs. No
 pair of a band is left out: a pair's word counts and lengths bound its edits from below.
@@ -26,8 +31,10 @@ from larkspan.llm.common import cut, discard, fresh, whole_text
 from larkspan.llm.components import components
 from larkspan.llm.features import BASE, SPREAD, words_of
 
-SHINGLE, THRESHOLD = 5, 0.8
-SKETCHES = 32
+SHINGLE, THRESHOLD = 3, 0.8
+SKETCHES = 48
+#: k-mers and sketches of texts of so many words at most, and the most words of a text whose pieces are compared.
+FINE, FINE_SKETCHES, SMALL, TINY = 2, 32, 125, 24
 #: Words are counted in 1 << BAG_BITS cells of a text's bag, a byte each.
 BAG_BITS = 8
 #: Links of a representative that are verified together.
@@ -50,7 +57,7 @@ def stir(x: np.ndarray) -> np.ndarray:
 
 #: Each hash function multiplies by an odd number after an exclusive or.
 with np.errstate(over="ignore"):
-    XOR = stir(stir(np.arange(1, SKETCHES + 1, dtype=np.uint64) * BASE))
+    XOR = stir(stir(np.arange(1, SKETCHES + FINE_SKETCHES + 1, dtype=np.uint64) * BASE))
     TIMES = stir(XOR + BASE) | np.uint64(1)
 
 
@@ -75,9 +82,9 @@ def word_runs(texts: pa.Array) -> Iterator[np.ndarray]:
         yield hashes[own[~empty[own]]] if len(own) else np.zeros(0, np.uint64)
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
-    """The labelled k-mers of a text in order: one of all words if they are fewer than SHINGLE, none without words."""
-    size = min(SHINGLE, len(words))
+def kmers(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """The labelled k-mers of a text in order: one of all words if they are fewer than `size`, none without words."""
+    size = min(size, len(words))
     if not size:
         return words
     n = len(words) - size + 1
@@ -98,13 +105,14 @@ def kmers(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
+def sketch(own: np.ndarray, functions: slice = slice(0, SKETCHES)) -> np.ndarray:
     """The band values of a text's k-mers: one for each hash function, of the two least k-mers in text order."""
-    best, where = np.full((len(XOR), 2), np.iinfo(np.uint64).max), np.zeros((len(XOR), 2), np.int64)
-    rows = np.arange(len(XOR))
+    xor, times = XOR[functions, None], TIMES[functions, None]
+    best, where = np.full((len(xor), 2), np.iinfo(np.uint64).max), np.zeros((len(xor), 2), np.int64)
+    rows = np.arange(len(xor))
     with np.errstate(over="ignore"):
         for at in range(0, len(own), 1 << 13):
-            h = (own[None, at : at + (1 << 13)] ^ XOR[:, None]) * TIMES[:, None]
+            h = (own[None, at : at + (1 << 13)] ^ xor) * times
             values, places = [best], [where]
             for _ in range(min(2, h.shape[1])):
                 i = h.argmin(1)
@@ -117,7 +125,39 @@ def sketch(own: np.ndarray) -> np.ndarray:
         if len(own) == 1:
             where[:, 1] = where[:, 0]
         where.sort(axis=1)
-        return stir(rows.astype(np.uint64) * BASE + stir(own[where[:, 0]] * BASE + own[where[:, 1]]))
+        return stir((rows + functions.start).astype(np.uint64) * BASE + stir(own[where[:, 0]] * BASE + own[where[:, 1]]))
+
+
+def pieces(words: np.ndarray, threshold: float) -> np.ndarray:
+    """A value for each piece of a short text and its place: as the longer one of a pair, and, up to TINY words, as one of the same length or a shorter one."""
+    mask, base, out, n = (1 << 64) - 1, int(BASE), [], len(words)
+    before, powers = [0], [1]
+    for w in words.tolist():
+        before.append((before[-1] * base + w + 1) & mask)
+        powers.append(powers[-1] * base & mask)
+    longer = n
+    while longer - (most := budget(longer, threshold)) <= n and (n <= TINY or longer == n):
+        shift = n - longer
+        for i in range(most + 1):
+            a, b = longer * i // (most + 1), longer * (i + 1) // (most + 1)
+            low, high = max(0, a - i, a + shift - (most - i)), min(n - b + a, a + i, a + shift + most - i)
+            for at in range(low, high + 1) if n <= TINY else (a,):
+                own = before[at + b - a] - before[at] * powers[b - a]
+                out.append((own * base + (longer << 16) + i + 1) & mask)
+        longer += 1
+    return stir(stir(np.array(out, np.uint64)))
+
+
+def band_values(words: np.ndarray, threshold: float) -> np.ndarray:
+    """The bands of a text; none without words."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    out = [sketch(kmers(words))]
+    if len(words) <= SMALL:
+        out.append(sketch(kmers(words, FINE), slice(SKETCHES, SKETCHES + FINE_SKETCHES)))
+    if len(words) - budget(len(words), threshold) <= TINY:
+        out.append(pieces(words, threshold))
+    return np.unique(np.concatenate(out)).view(np.int64)
 
 
 def bag(words: np.ndarray) -> np.ndarray:
@@ -130,7 +170,7 @@ def bag_rows(bags: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(bags.to_pylist()), np.uint8).reshape(len(bags), 1 << BAG_BITS).astype(np.int16)
 
 
-def sketch_column(text: Column) -> Column:
+def sketch_column(text: Column, threshold: float = THRESHOLD) -> Column:
     """The number of words, the band values and the bag of each text; no bands for a text without words."""
     kinds = [("size", pa.int64()), ("bands", pa.list_(pa.int64())), ("bag", pa.binary())]
 
@@ -141,7 +181,7 @@ def sketch_column(text: Column) -> Column:
             for part in slices(plain(texts), CHUNK):
                 for words in word_runs(part):
                     sizes.append(len(words))
-                    bands.append(sketch(kmers(words)).view(np.int64) if len(words) else [])
+                    bands.append(band_values(words, threshold))
                     bags.append(bag(words).tobytes())
             yield pa.StructArray.from_arrays([pa.array(x, kind) for x, (_, kind) in zip((sizes, bands, bags), kinds, strict=True)], [name for name, _ in kinds])
 
@@ -222,9 +262,9 @@ def address(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def text_groups(docs: DataFrame) -> DataFrame:
+def text_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, size (in words), bands, bag."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), sketch_column(F.col("text")).alias("own"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), sketch_column(F.col("text"), threshold).alias("own"))
     same = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("own").alias("own"))
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))
     nulls = F.max(F.when(F.col("doc_id").isNull(), F.col("n")))
@@ -311,7 +351,7 @@ def block_pairs(members: DataFrame, met: DataFrame, threshold: float, deal: int
     else:
         dealt = dealt.withColumn("other", F.col("block"))
     dealt = dealt.select("band", "cell", "node", "lower", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    # a text has SKETCHES bands at most
+    # a text has a bounded number of bands
     own = members.groupBy("node", "root").agg(F.collect_list("band").alias("crowded"))
     dealt = dealt.join(own, "node").join(met.select("node", "size", "bag"), "node")
     nearest = None if deal is None else NEAREST
@@ -460,7 +500,7 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """node, class_id, keeper (the node of class_id), twins (the keeper's rows of that id), class_size, for each distinct text."""
-    groups = cut(text_groups(docs), "text-groups")
+    groups = cut(text_groups(docs, threshold), "text-groups")
     near_links = links(docs, groups, threshold)
     roots = components(near_links)
     near = groups.drop("bands", "bag").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

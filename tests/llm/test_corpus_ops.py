@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -262,16 +263,23 @@ def components_of(nodes, pairs):
     return {n: find(n) for n in nodes}
 
 
+def all_near(words):
+    """The pairs of all texts that are plainly near. Word counts in cells spare most alignments: an edit changes two of them by one."""
+    cells = np.zeros((len(words), 512), np.int32)
+    for i, own in enumerate(words):
+        np.add.at(cells[i], [zlib.crc32(w.encode()) % 512 for w in own], 1)
+    sizes, out = np.array([*map(len, words)]), []
+    for i in range(len(words)):
+        longer = np.maximum(sizes[i], sizes[i + 1 :])
+        maybe = np.flatnonzero(np.abs(cells[i + 1 :] - cells[i]).sum(1) <= 0.4 * longer + 1e-6) + i + 1
+        out += [(i, j) for j in maybe.tolist() if plainly_near(words[i], words[j])]
+    return out
+
+
 def test_near_classes(spark, documents):
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
-    words = {i: t.lower().split() for i, t in texts.items()}
-    by_gram = defaultdict(list)
-    for i, t in texts.items():
-        for k in plain_grams(t):
-            by_gram[k].append(i)
-    shared = {(a, b) for ids in by_gram.values() for x, a in enumerate(ids) for b in ids[x + 1 :]}
-    near = [(a, b) for a, b in shared if plainly_near(words[a], words[b])]
-    want = components_of(texts, near)
+    ids = [*texts]
+    want = components_of(texts, [(ids[i], ids[j]) for i, j in all_near([t.lower().split() for t in texts.values()])])
     got = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in QUERIES["op7_near_dedup"](spark, SF01).collect()}
     assert {i: c for i, (c, _) in got.items()} == want
     sizes = Counter(want.values())
@@ -279,23 +287,67 @@ def test_near_classes(spark, documents):
     assert {r["doc_id"] for r in orderdup.keep_one(documents).collect()} == set(want.values())
 
 
+def scattered(rng, words, n):
+    """n edits at places of their own: changed, lost and added words."""
+    out = [[w] for w in words]
+    for i in rng.sample(range(len(words)), n):
+        out[i] = rng.choice([["x%d" % rng.randrange(10**9)]] * 2 + [[], out[i] + ["y%d" % rng.randrange(10**9)]])
+    return [w for own in out for w in own]
+
+
+@pytest.mark.parametrize("size", [1, 3, 5, 6, 8, 10, 12, 18, 24, 26, 30, 31, 40, 60, 100, 126, 160, 250, 1000])
+def test_pairs_at_the_threshold_share_a_band(size):
+    """All pairs of a text and its edited copies are the truth, whatever bands they have."""
+    rng, met, near = random.Random(size), 0, 0
+    for share in (0.05, 0.1, 0.15, 0.2):
+        for _ in range(60 if size < 500 else 15):
+            a = ["w%d" % rng.randrange(10**9) for _ in range(size)]
+            b = scattered(rng, a, int(share * size + 1e-9))
+            if not b or not plainly_near(a, b):
+                continue
+            x, y = (set(orderdup.band_values(orderdup.word_hashes(w), 0.8).tolist()) for w in (a, b))
+            near, met = near + 1, met + bool(x & y)
+    assert near >= 50 and met >= 0.98 * near and (met == near or size > orderdup.TINY)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(0, 2), min_size=1, max_size=24), st.lists(st.integers(0, 2), min_size=1, max_size=30), st.sampled_from([0.5, 0.8, 0.9, 1.0]))
+def test_pieces_miss_no_pair(a, b, threshold):
+    most = orderdup.budget(max(len(a), len(b)), threshold)
+    own = [set(orderdup.pieces(np.array(w, np.uint64), threshold).tolist()) for w in (a, b)]
+    assert own[0] & own[1] or plain_edits(a, b) > most
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=24), st.data())
+def test_pieces_find_edited_texts(a, data):
+    b = list(a)
+    for _ in range(orderdup.budget(len(a), 0.8)):
+        at = data.draw(st.integers(0, len(b)))
+        b[at : at + data.draw(st.integers(0, 1))] = [data.draw(st.integers(0, 9))] * data.draw(st.integers(0, 1))
+    if b and plain_edits(a, b) <= orderdup.budget(max(len(a), len(b)), 0.8):
+        own = [set(orderdup.pieces(np.array(w, np.uint64), 0.8).tolist()) for w in (a, b)]
+        assert own[0] & own[1]
+
+
+def test_one_word_changed(spark):
+    """Short texts, which have few k-mers or none in common."""
+    texts = ["one two three four five six seven eight", "one two three FOR five six seven eight", "a b c d e", "a b x d e", "a y c d e", "p q r s", "p q r t"]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["class_id"] for r in orderdup.classify_documents(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 2, 4: 2, 5: 5, 6: 6}
+
+
 def test_labels_of_repeats():
     """A k-mer's first occurrence is the same in a text without repeats."""
     once, twice = orderdup.word_runs(pa.array(["a b c d e f g", "a b c d e f g a b c d e f g"], pa.large_string()))
     once, twice = orderdup.kmers(once), orderdup.kmers(twice)
-    assert len(set(twice.tolist())) == 10 and set(once.tolist()) < set(twice.tolist())
+    assert len(set(twice.tolist())) == 12 and set(once.tolist()) < set(twice.tolist())
 
 
 def near_groups(texts):
-    """Classes by comparing all texts that share a band."""
-    words = [t.split() for t in texts]
-    bands = [set(orderdup.sketch(orderdup.kmers(w)).tolist()) for w in orderdup.word_runs(pa.array(texts, pa.large_string()))]
-    by_band = defaultdict(list)
-    for i, own in enumerate(bands):
-        for b in own:
-            by_band[b].append(i)
-    pairs = {(i, j) for own in by_band.values() for x, i in enumerate(own) for j in own[x + 1 :]}
-    return components_of(range(len(texts)), [(i, j) for i, j in pairs if plainly_near(words[i], words[j])])
+    """Classes by comparing all texts."""
+    return components_of(range(len(texts)), all_near([t.split() for t in texts]))
 
 
 @pytest.mark.parametrize(("pairs", "block"), [(orderdup.PAIRS, orderdup.BLOCK), (0, 8), (1 << 30, 8), (0, 60)])
