@@ -5,19 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspan.operators.overlap import PARTS
+from larkspan.operators.shared import fresh
+
 
 def point_in_range_join(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float) -> DataFrame:
     """Inner join on low <= point < high. Bins come in levels, each with bins twice as wide as the level before.
 
     A range is copied to the bins that it touches on the first level whose bins are as wide as the range: two at most,
-    however wide it is. A point is copied to its bin on each level that ranges have, of which there can be few.
+    however wide it is. A point is copied to its bin on each level that ranges have, of which there can be few. A range
+    with an infinite bound has no bins: it is copied to PARTS parts, and each point is in one of them. Null bounds and
+    points meet nothing; NaN is larger than all, as in Spark's comparisons.
     """
-    spans = ranges.where(F.col(low) < F.col(high)).withColumn("__level", F.greatest(F.lit(0), F.ceil(F.log2((F.col(high).cast("double") - F.col(low)) / width))).cast("int"))
-    wide = lambda c: F.col(c) / (width * F.pow(F.lit(2.0), F.col("__level")))
-    levels = sorted(r[0] for r in spans.select("__level").distinct().collect())  # about 60 for whole numbers, 2,100 for any doubles
-    r = spans.withColumn("__bin", F.explode(F.sequence(F.floor(wide(low)), F.floor(wide(high)))))
-    p = points.withColumn("__level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("__bin", F.floor(wide(point)))
-    return p.join(r, ["__level", "__bin"]).where((F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))).drop("__level", "__bin")
+    level, bin_, part = fresh("level", "bin", "part", beside=(points, ranges))
+    endless = lambda c: F.isnan(c) | (F.abs(F.col(c).cast("double")) == float("inf"))
+    known = ranges.where(F.col(low) < F.col(high)).withColumn(part, endless(low) | endless(high) | (F.col(high).cast("double") - F.col(low).cast("double") == float("inf")))
+    spans = known.where(~F.col(part)).drop(part).withColumn(level, F.greatest(F.lit(0), F.ceil(F.log2((F.col(high).cast("double") - F.col(low)) / width))).cast("int"))
+    wide = lambda c: F.col(c) / (width * F.pow(F.lit(2.0), F.col(level)))
+    levels = sorted(r[0] for r in spans.select(level).distinct().collect())  # about 60 for whole numbers, 2,100 for any doubles
+    r = spans.withColumn(bin_, F.explode(F.sequence(F.floor(wide(low)), F.floor(wide(high)))))
+    p = points.where(~endless(point)).withColumn(level, F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn(bin_, F.floor(wide(point)))
+    hit = (F.col(point) >= F.col(low)) & (F.col(point) < F.col(high))
+    columns = [*points.columns, *ranges.columns]
+    copies = known.where(part).withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = points.withColumn(part, F.pmod(F.xxhash64(*points.columns), F.lit(PARTS)).cast("int"))
+    return p.join(r, [level, bin_]).where(hit).select(*columns).union(dealt.join(copies, part).where(hit).select(*columns))
 
 
 def interval_join(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, before_s: int, after_s: int) -> DataFrame:
@@ -25,8 +37,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: str, left_time: str, ri
 
     Time is cut into bins as long as the span of both bounds; a left row meets its own and the neighbouring bins.
     """
-    span = max(1, before_s + after_s)
-    second = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    a = left.withColumn("__a", second(left_time)).withColumn("__bin", F.explode(F.sequence(F.floor((F.col("__a") - before_s * 1_000_000) / (span * 1_000_000)), F.floor((F.col("__a") + after_s * 1_000_000) / (span * 1_000_000)))))
-    b = right.withColumn("__b", second(right_time)).withColumn("__bin", F.floor(F.col("__b") / (span * 1_000_000)))
-    return a.join(b, [on, "__bin"]).where((F.col("__b") >= F.col("__a") - before_s * 1_000_000) & (F.col("__b") <= F.col("__a") + after_s * 1_000_000)).drop("__a", "__b", "__bin")
+    span = max(1, before_s + after_s) * 1_000_000
+    x, y, bin_ = fresh("left_micros", "right_micros", "bin", beside=(left, right))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    first, last = F.col(x) - before_s * 1_000_000, F.col(x) + after_s * 1_000_000
+    a = left.withColumn(x, micros(left_time)).withColumn(bin_, F.explode(F.sequence(F.floor(first / span), F.floor(last / span))))
+    b = right.withColumn(y, micros(right_time)).withColumn(bin_, F.floor(F.col(y) / span))
+    return a.join(b, [on, bin_]).where(F.col(y).between(first, last)).drop(x, y, bin_)
