@@ -15,14 +15,14 @@ from larkspan.plans.registry import query
 from larkspan.tables import Tables
 
 
-@query("""SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_acctbal END AS s_acctbal FROM supplier WHERE s_suppkey % 6 <> 0
-UNION ALL SELECT s_suppkey + 1000000, s_name, 1 FROM supplier WHERE s_suppkey % 4 = 1""")
+@query("""SELECT s_suppkey, s_name, CASE WHEN s_acctbal > 5000 THEN 0 ELSE s_acctbal END AS s_acctbal FROM supplier WHERE s_acctbal >= 0
+UNION ALL SELECT s_suppkey + 1000000, s_name, 1 FROM supplier WHERE s_nationkey = 3""")
 def merge_rows(t: Tables) -> DataFrame:
-    """Every third supplier changes, every sixth goes, some are new."""
+    """Suppliers in debt go, rich ones change, those of a nation get a second row."""
     target = t.supplier.select("s_suppkey", "s_name", "s_acctbal")
-    changed = target.where("s_suppkey % 3 = 0").withColumn("s_acctbal", F.lit(0.0))
-    new = target.where("s_suppkey % 4 = 1").withColumn("s_suppkey", F.col("s_suppkey") + 1000000).withColumn("s_acctbal", F.lit(1.0))
-    return merge(target, changed.union(new), ["s_suppkey"], (F.col("s_suppkey") % 6 == 0) & (F.col("s_suppkey") < 1000000))
+    changed = target.where("s_acctbal > 5000 OR s_acctbal < 0").withColumn("s_acctbal", F.when(F.col("s_acctbal") < 0, F.col("s_acctbal")).otherwise(0.0))
+    new = t.supplier.where("s_nationkey = 3").select((F.col("s_suppkey") + 1000000).alias("s_suppkey"), "s_name", F.lit(1.0).alias("s_acctbal"))
+    return merge(target, changed.union(new), ["s_suppkey"], F.col("s_acctbal") < 0)
 
 
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
@@ -36,12 +36,12 @@ def merge_history(t: Tables) -> DataFrame:
     return history(t.events.select("user_id", "event_id", "event_type"), ["user_id"], "event_id", ["event_type"])
 
 
-@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'delete' ELSE 'update' END AS change FROM supplier WHERE s_suppkey % 5 = 0 OR s_suppkey % 7 = 0
-UNION ALL SELECT -1, 'insert'""")
+@query("""SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'delete' ELSE 'update' END AS change FROM supplier WHERE s_acctbal < 0 OR s_acctbal > 9000
+UNION ALL SELECT -1 - s_suppkey, 'insert' FROM supplier WHERE s_nationkey = 5""")
 def merge_difference(t: Tables) -> DataFrame:
     old = t.supplier.select("s_suppkey", "s_acctbal")
-    extra = old.sparkSession.range(1).select(F.lit(-1).cast("bigint").alias("s_suppkey"), F.lit(0.0).alias("s_acctbal"))
-    new = old.where("s_suppkey % 5 <> 0").withColumn("s_acctbal", F.when(F.col("s_suppkey") % 7 == 0, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal"))).union(extra)
+    kept = old.where("s_acctbal >= 0").withColumn("s_acctbal", F.when(F.col("s_acctbal") > 9000, F.col("s_acctbal") + 1).otherwise(F.col("s_acctbal")))
+    new = kept.union(t.supplier.where("s_nationkey = 5").select(-1 - F.col("s_suppkey"), "s_acctbal"))
     return difference(old, new, ["s_suppkey"])
 
 

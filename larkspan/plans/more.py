@@ -57,9 +57,19 @@ def join_hint_merge(t: Tables) -> DataFrame:
     return t.orders.join(t.customer.hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
 
 
-@query("SELECT range::BIGINT AS id, (range * range)::BIGINT AS square FROM range(1000)")
+@query("""WITH o AS (SELECT date_diff('day', min(o_orderdate) OVER (), o_orderdate) AS day FROM orders)
+SELECT r.day::BIGINT AS day, count(o.day) AS n FROM range(0, (SELECT max(day) + 1 FROM o)) r(day) LEFT JOIN o ON o.day = r.day GROUP BY r.day""")
 def table_range(t: Tables) -> DataFrame:
-    return t.spark.sql("SELECT id, id * id AS square FROM range(1000)")
+    """Orders of each day since the first, also of days without: the days come from the range function."""
+    t.orders.select("o_orderdate").createOrReplaceTempView("larkspan_days")
+    first, days = t.spark.sql("SELECT min(o_orderdate), datediff(max(o_orderdate), min(o_orderdate)) + 1 FROM larkspan_days").first()
+    return t.spark.sql(f"SELECT id AS day, coalesce(n, 0) AS n FROM range({days}) LEFT JOIN (SELECT datediff(o_orderdate, TIMESTAMP_NTZ '{first}') AS d, count(*) AS n FROM larkspan_days GROUP BY 1) ON id = d")
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def join_hint_broadcast(t: Tables) -> DataFrame:
+    # a dimension of 25 rows
+    return t.customer.join(t.nation.hint("broadcast"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
 
 
 @query("SELECT o_orderkey, date_diff('day', TIMESTAMP '1995-01-01', o_orderdate)::BIGINT AS days, strftime(o_orderdate + INTERVAL 14 MONTH, '%Y-%m') AS later FROM orders")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspan.functions import exact
-from larkspan.operators import asof_join, exclude_current_row, groups_frame, interval_join, melt, point_in_range_join, qualify, salted_join, sessionize, spread, not_in
+from larkspan.operators import asof_join, exact_quantiles, exclude_current_row, groups_frame, interval_join, melt, point_in_range_join, qualify, salted_join, sessionize, spread, not_in
 from larkspan.operators.reshape import top_per_group
 from larkspan.plans.registry import query
 from larkspan.tables import Tables
@@ -137,7 +137,10 @@ def agg_kinds(t: Tables) -> DataFrame:
 
 @query("SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY ALL")
 def agg_percentiles(t: Tables) -> DataFrame:
-    return t.events.groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.9), 6).alias("p90"))
+    """By selection, as the built-in percentile keeps all values of a group in one buffer."""
+    rows = exact_quantiles(t.events, ["event_type"], F.col("value"), [0.5, 0.9])
+    own = lambda q: F.round(F.max(F.when(F.col("share") == q, F.col("quantile"))), 6)
+    return rows.groupBy("event_type").agg(own(0.5).alias("median"), own(0.9).alias("p90"))
 
 
 @query("SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS nations, list_sort(list(n_nationkey)) AS keys FROM nation GROUP BY ALL")
@@ -247,14 +250,20 @@ def reshape_unpivot(t: Tables) -> DataFrame:
     return melt(t.supplier.select("s_suppkey", F.col("s_acctbal").alias("balance"), F.col("s_nationkey").cast("double").alias("nation")), ["s_suppkey"], ["balance", "nation"])
 
 
-@query("SELECT doc_id, (row_number() OVER (PARTITION BY doc_id)) AS n FROM documents WHERE false")
+@query("SELECT doc_id, n_chars::BIGINT AS n FROM documents WHERE n_chars < 0")
 def filter_nothing(t: Tables) -> DataFrame:
-    return t.documents.where(F.lit(False)).select("doc_id", F.lit(0).cast("bigint").alias("n"))
+    return t.documents.where("n_chars < 0").select("doc_id", F.col("n_chars").cast("bigint").alias("n"))
 
 
-@query("WITH RECURSIVE f(n, x) AS (SELECT 1, 1::BIGINT UNION ALL SELECT n + 1, x * 2 FROM f WHERE n < 20) SELECT n, x FROM f")
+_CHAIN = """WITH RECURSIVE e AS (SELECT s_suppkey, s_nationkey, lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS richer, lag(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS poorer FROM {supplier}),
+c(s_suppkey, richer, depth) AS (SELECT s_suppkey, richer, 1 FROM e WHERE poorer IS NULL UNION ALL SELECT e.s_suppkey, e.richer, c.depth + 1 FROM c JOIN e ON c.richer = e.s_suppkey WHERE c.depth < 20) SELECT s_suppkey, depth FROM c"""
+
+
+@query(_CHAIN.format(supplier="supplier"))
 def recursion(t: Tables) -> DataFrame:
-    return t.spark.sql("WITH RECURSIVE f(n, x) AS (SELECT 1, cast(1 AS bigint) UNION ALL SELECT n + 1, x * 2 FROM f WHERE n < 20) SELECT n, x FROM f")
+    """The twenty poorest suppliers of each nation, from one to the next: a recursive table expression of so many rounds."""
+    t.supplier.createOrReplaceTempView("larkspan_suppliers")
+    return t.spark.sql(_CHAIN.format(supplier="larkspan_suppliers"))
 
 
 @query("""SELECT user_id, session, count(*) AS n, min(event_id) AS first_id FROM (SELECT user_id, event_id, sum(s) OVER (PARTITION BY user_id ORDER BY ts)::BIGINT AS session FROM

@@ -91,8 +91,9 @@ def stream_processor(t: Tables) -> DataFrame:
     return rows.groupBy("user_id").agg(F.max("n").alias("n"))
 
 
-@query("SELECT range::BIGINT AS value, range % 7 = 0 AS seventh FROM range(1000)")
+@query("SELECT c_custkey, c_nationkey FROM customer")
 def stream_rate(t: Tables) -> DataFrame:
-    """The counter source, of one batch."""
-    ticks = t.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1000).option("numPartitions", 4).load()
-    return drain(ticks.select("value", (F.col("value") % 7 == 0).alias("seventh")))
+    """Customers as the counter source reaches their keys, in one batch: a stream joined with a table."""
+    most = t.customer.agg(F.max("c_custkey")).first()[0] + 1
+    ticks = t.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", most).option("numPartitions", 4).load()
+    return drain(ticks.select("value").join(t.customer, F.col("value") == F.col("c_custkey")).select("c_custkey", "c_nationkey"))
