@@ -5,8 +5,8 @@ and keeps these in text order, so that texts agree in a sketch as their order of
 the edit distance. Texts that agree in a sketch share a band. Two texts of a band are linked, if the banded alignment of
 their words confirms a similarity of THRESHOLD: 1 - edits / words of the longer text. Classes are the links' components.
 
-Where few k-mers make chance large, shorter ones help: texts of SMALL words at most have sketches of FINE words, too. For
-texts of TINY words at most the search is exact: of the longer of two texts cut into one piece more than its budget of
+Texts of SMALL words at most have few k-mers, of which edits touch many: theirs are of FINE words. For texts of TINY words
+at most the search is exact: of the longer of two texts cut into one piece more than its budget of
 edits, one piece at least stands unchanged in the other, shifted by no more than the edits beside it; each such piece
 with its place is a band, too.
 
@@ -31,16 +31,16 @@ from larkspan.llm.common import cut, discard, fresh, whole_text
 from larkspan.llm.components import components
 from larkspan.llm.features import BASE, SPREAD, words_of
 
-SHINGLE, THRESHOLD = 3, 0.8
-SKETCHES = 48
-#: k-mers and sketches of texts of so many words at most, and the most words of a text whose pieces are compared.
-FINE, FINE_SKETCHES, SMALL, TINY = 2, 32, 125, 24
+SHINGLE, THRESHOLD = 4, 0.8
+SKETCHES = 64
+#: Words of a k-mer of texts of SMALL words at most; the most words of a text whose pieces are compared.
+FINE, SMALL, TINY = 3, 125, 24
 #: Words are counted in 1 << BAG_BITS cells of a text's bag, a byte each.
 BAG_BITS = 8
 #: Links of a representative that are verified together.
 SALT = 256
 #: Pairs left for each text of a shared band at which all are compared at once; above it, texts are first compared with their nearest.
-PAIRS = 16
+PAIRS = 256
 #: Texts of a block; a band that has more is compared in pairs of blocks.
 BLOCK = 1024
 #: Pairs that a text gives at most in a round in which it meets the others of its block.
@@ -57,7 +57,7 @@ def stir(x: np.ndarray) -> np.ndarray:
 
 #: Each hash function multiplies by an odd number after an exclusive or.
 with np.errstate(over="ignore"):
-    XOR = stir(stir(np.arange(1, SKETCHES + FINE_SKETCHES + 1, dtype=np.uint64) * BASE))
+    XOR = stir(stir(np.arange(1, SKETCHES + 1, dtype=np.uint64) * BASE))
     TIMES = stir(XOR + BASE) | np.uint64(1)
 
 
@@ -105,9 +105,9 @@ def kmers(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return h
 
 
-def sketch(own: np.ndarray, functions: slice = slice(0, SKETCHES)) -> np.ndarray:
+def sketch(own: np.ndarray) -> np.ndarray:
     """The band values of a text's k-mers: one for each hash function, of the two least k-mers in text order."""
-    xor, times = XOR[functions, None], TIMES[functions, None]
+    xor, times = XOR[:, None], TIMES[:, None]
     best, where = np.full((len(xor), 2), np.iinfo(np.uint64).max), np.zeros((len(xor), 2), np.int64)
     rows = np.arange(len(xor))
     with np.errstate(over="ignore"):
@@ -125,7 +125,7 @@ def sketch(own: np.ndarray, functions: slice = slice(0, SKETCHES)) -> np.ndarray
         if len(own) == 1:
             where[:, 1] = where[:, 0]
         where.sort(axis=1)
-        return stir((rows + functions.start).astype(np.uint64) * BASE + stir(own[where[:, 0]] * BASE + own[where[:, 1]]))
+        return stir(rows.astype(np.uint64) * BASE + stir(own[where[:, 0]] * BASE + own[where[:, 1]]))
 
 
 def pieces(words: np.ndarray, threshold: float) -> np.ndarray:
@@ -152,10 +152,13 @@ def band_values(words: np.ndarray, threshold: float) -> np.ndarray:
     """The bands of a text; none without words."""
     if not len(words):
         return np.zeros(0, np.int64)
-    out = [sketch(kmers(words))]
-    if len(words) <= SMALL:
-        out.append(sketch(kmers(words, FINE), slice(SKETCHES, SKETCHES + FINE_SKETCHES)))
-    if len(words) - budget(len(words), threshold) <= TINY:
+    # what a text of the same pair may be no longer than
+    shorter, out = len(words) - budget(len(words), threshold), []
+    if len(words) > SMALL:
+        out.append(sketch(kmers(words)))
+    if shorter <= SMALL:
+        out.append(sketch(kmers(words, FINE)))
+    if shorter <= TINY:
         out.append(pieces(words, threshold))
     return np.unique(np.concatenate(out)).view(np.int64)
 
@@ -336,15 +339,20 @@ def block_pairs(members: DataFrame, met: DataFrame, threshold: float, deal: int
     gives all its pairs.
     """
     cell = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9) if threshold < 1 else F.col("size")
-    rows = members.withColumn("cell", cell).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1))))
-    rows = rows.select("band", "node", "size", (F.col("cell") + F.col("up")).alias("cell"), (F.col("up") == 1).alias("lower"), (F.lit(deal is None) & (F.col("root") != F.col("largest"))).alias("out"))
+    placed = members.select("band", "node", "size", F.xxhash64("root").alias("part"), cell.cast("bigint").alias("cell"), (F.lit(deal is None) & (F.col("root") != F.col("largest"))).alias("out"))
+    both = F.explode(F.array(F.struct(F.col("cell").alias("at"), F.lit(False).alias("lower")), F.struct((F.col("cell") + 1).alias("at"), F.lit(True).alias("lower"))))
 
     def blocks(which: Column) -> Column:
         return F.ceil(F.greatest(F.count(F.when(which, 1)) / BLOCK, F.coalesce(F.sum(F.when(which, F.col("size"))), F.lit(0)) / WORDS)).cast("int")
 
-    number = rows.groupBy("band", "cell").agg(blocks(F.col("out")).alias("outer"), blocks(~F.col("out")).alias("inner"), F.min("lower").alias("only_lower")).where("NOT only_lower" + (" AND outer > 0" if deal is None else "")).drop("only_lower")
+    number = placed.select("band", "size", "part", "out", both.alias("in")).groupBy("band", "in.at").agg(blocks(F.col("out")).alias("outer"), blocks(~F.col("out")).alias("inner"), F.min("in.lower").alias("only_lower"), (F.min("part") < F.max("part")).alias("apart"))
+    number = number.where("apart AND NOT only_lower" + (" AND outer > 0" if deal is None else ""))
+    # a band has as many cells as its texts' sizes have powers of 1 / threshold
+    cells = number.groupBy("band").agg(F.map_from_entries(F.collect_list(F.struct("at", F.struct("outer", "inner")))).alias("cells"))
+    rows = placed.drop("size", "part").join(cells, "band").withColumn("in", both).withColumn("n", F.try_element_at("cells", F.col("in.at"))).where("n IS NOT NULL")
+    rows = rows.select("band", "node", F.col("in.at").alias("cell"), "in.lower", "out", "n.outer", "n.inner")
     own = lambda n: F.pmod(F.xxhash64("node", F.lit(deal or 0)), F.col(n)).cast("int")
-    dealt = rows.drop("size").join(number, ["band", "cell"]).withColumn("block", F.when(F.col("out"), own("outer")).otherwise(F.col("outer") + own("inner")))
+    dealt = rows.withColumn("block", F.when(F.col("out"), own("outer")).otherwise(F.col("outer") + own("inner")))
     if deal is None:
         last = F.col("outer") + F.when(F.col("out"), F.col("inner")).otherwise(0) - 1
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
@@ -446,7 +454,10 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
     components differ are compared.
     """
     rows = groups.select("node", F.explode("bands").alias("band"))
-    shared = cut(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
+    # bands of the same texts say the same: one of them is kept, such as one of all those that two copies share
+    hashed = F.xxhash64("node")
+    sets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(F.lit((1 << 40) - 1))).alias("s")).where("n > 1")
+    shared = cut(sets.groupBy("n", "x", "s").agg(F.min("band").alias("band")).select("band", "n"), "bands")
     weights = rows.join(shared, "band").groupBy("node").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands"))
     met = cut(weights.join(groups.select("node", "size", "bag"), "node"), "met")
     texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
