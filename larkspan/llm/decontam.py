@@ -64,7 +64,7 @@ def occurs(masks: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """items: (item_id, normalised text); empty texts match nothing. edge: put around items and texts. Items of fewer than `least` characters match whole texts."""
+    """items: (item_id or None, normalised text); empty texts match nothing. edge: put around items and texts. Items of fewer than `least` characters match whole texts."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = RATE, edge: str = "", least: int = 0):
         self.edge, self.whole = edge, defaultdict(list)
@@ -91,10 +91,11 @@ class Matcher:
         return self.masks[n]
 
     def find(self, text: str) -> list[tuple[int, int, int]]:
-        """(item_id, least distance, budget) of each item that occurs within its budget, by item_id."""
+        """(item_id, least distance, budget) of each item that occurs within its budget, by item_id, null ids last."""
+        order = lambda h: (h[0] is None, h[0] or 0, *h[1:])
         short = self.whole.get(text, [])
         if not self.items:
-            return sorted(short)
+            return sorted(short, key=order)
         text = f"{self.edge}{text}{self.edge}"
         begins = defaultdict(set)
         for end, (size, where) in self.automaton.iter(text):
@@ -116,12 +117,12 @@ class Matcher:
                     best, done = min(best, occurs(self.mask(n), m, text[a:z])), z
             if best <= k:
                 out.append((item, best, k))
-        return sorted(out + short)
+        return sorted(out + short, key=order)
 
 
 def item_blocks(benchmark: DataFrame, block: int = BLOCK) -> Iterator[list[tuple[int, str]]]:
     """The items, normalised, in blocks whose size is checked before they are collected."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), normal(whole_text()).alias("text")).where(F.col("text") != "").distinct()
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), normal(whole_text()).alias("text")).where(F.col("text") != "").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block)
     for i in range(n):
@@ -159,7 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
     """One row for each document and item that it holds: doc_id, item_id, distance, budget.
 
     Null and empty texts hold nothing; repeated rows and items of one id give a row each, with the least distance per
-    item text. Texts of any length are searched whole; empty tables give no rows; other columns are ignored, whatever
+    item text. An item whose item_id is null is looked for as any other and reported with a null; one without a letter or
+    digit matches nothing. Texts of any length are searched whole; empty tables give no rows; other columns are ignored, whatever
     their names. The hits of each block of items are written before the next block is looked for, so that no plan or
     task holds more than one.
     """
@@ -169,7 +171,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """`docs` without the rows that hold an item; all its columns stay, whatever their names. What a block leaves is written before the next is looked for."""
+    """`docs` without the rows that hold an item, whatever the item's id; all its columns stay, whatever their names. Rows with null or empty texts stay, repeated rows share their fate, and empty tables leave all. What a block leaves is written before the next is looked for."""
     name, blocks = fresh(docs, "hits"), item_blocks(benchmark)
     items, held, left = next(blocks, None), None, docs
     while items is not None:
