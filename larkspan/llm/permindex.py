@@ -52,9 +52,11 @@ def orders(x: np.ndarray, lift: np.ndarray, pivots: np.ndarray, prefix: int) ->
 
 
 class Block:
-    """Some distinct vectors and their inverted files."""
+    """Some distinct vectors, by their least ids, and their inverted files."""
 
     def __init__(self, x: np.ndarray, ids: list[list[int]], first: np.ndarray, pivots: int):
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
+        x, ids, first = x[order], [ids[i] for i in order], first[order]
         self.x, self.ids, self.n, self.prefix = x, ids, len(x), first.shape[1]
         self.files = np.zeros((pivots, self.n), np.int8)
         self.files[first, np.arange(self.n)[:, None]] = np.arange(self.prefix, 0, -1)
@@ -65,7 +67,12 @@ class Block:
         for weight, p in zip(range(self.prefix, 0, -1), first.tolist()):
             saved += np.minimum(self.files[p], np.int8(weight))
         most = least + int(self.n * share)
-        got = np.argpartition(-saved, most)[:most] if most < self.n else np.arange(self.n)
+        got = np.arange(self.n)
+        if most < self.n:
+            # of rows as near as the last that is reranked, those of the smaller ids, in whatever order the block came
+            last = np.partition(saved, self.n - most)[self.n - most]
+            nearer = np.flatnonzero(saved > last)
+            got = np.concatenate([nearer, np.flatnonzero(saved == last)[: most - len(nearer)]])
         scores = (self.x[got] * query).sum(1)
         if len(got) > k + 1:
             keep = scores >= np.partition(scores, -(k + 1))[-(k + 1)]  # one more: the query's own may be among them
