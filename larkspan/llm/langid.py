@@ -22,8 +22,10 @@ from larkspan.llm.features import sums_by_text, word_features, words_of
 SIZES, BITS = (2, 3, 4), 16
 #: Most labelled rows of a language to learn from, and of all languages, which share them; each language has one at least.
 SAMPLE, ROWS = 250, 16_000
-#: Most words of a row to learn from, in pieces of PIECE words that lie evenly over its text, and characters of a word.
+#: Most words of a row to learn from, in pieces of PIECE words that lie evenly over its text, and characters of a word: ten
+#: times as many in texts of a tenth of the words, as texts without spaces are. A row gives WORDS * LETTERS characters at most.
 WORDS, PIECE, LETTERS = 400, 25, 40
+#: Bytes of text that are labelled at once with up to four languages; with more of them less, so that the words' numbers take no more room.
 CHUNK = 2_000_000
 UNKNOWN = "und"
 
@@ -176,6 +178,10 @@ class ChainModel:
                 model.start += rate * gs / np.sqrt(square_s)
         return model
 
+    @property
+    def chunk(self) -> int:
+        return CHUNK * 4 // max(4, len(self.langs))
+
     def marginals(self, texts: pa.Array, lanes: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of each word that has letters, where each text's words begin, and which words these are of all."""
         raw, at, offsets = words_of(texts)
@@ -206,7 +212,7 @@ class ChainModel:
 
     def predict_texts(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         langs, scores = [], []
-        for part in slices(plain(texts), CHUNK):
+        for part in slices(plain(texts), self.chunk):
             p, starts, _ = self.marginals(part)
             counts = np.diff(starts)
             mean = np.stack([sums_by_text(p[:, j].copy(), starts) for j in range(p.shape[1])], 1) / np.maximum(1, counts)[:, None]
@@ -236,7 +242,7 @@ class ChainModel:
         def labelled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
                 rows = []
-                for part in slices(plain(texts), CHUNK):
+                for part in slices(plain(texts), held.value.chunk):
                     p, starts, kept = held.value.marginals(part)
                     raw, at, _ = words_of(part)
                     own, best = at[kept], p.argmax(1) if len(p) else np.zeros(0, int)
@@ -248,7 +254,8 @@ class ChainModel:
 
 def excerpt(text: str) -> Column:
     """The text, or pieces of it that are WORDS words together. The driver gets no more of any row."""
-    words = F.transform(F.split(F.trim(F.col(text)), r"\s+"), lambda w: F.substring(w, 1, LETTERS))
+    split = F.split(F.trim(F.col(text)), r"\s+")
+    words = F.transform(split, lambda w: F.substring(w, F.lit(1), F.when(F.size(split) <= WORDS // 10, 10 * LETTERS).otherwise(LETTERS)))
     n = WORDS // PIECE
     pieces = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(words, (F.lit(1) + F.floor((F.size(words) - PIECE) * i / (n - 1))).cast("int"), PIECE))
     return F.array_join(F.when(F.size(words) <= WORDS, words).otherwise(F.flatten(pieces)), " ")
