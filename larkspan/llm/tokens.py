@@ -9,19 +9,22 @@ File format: Parquet files whose rows are segments in ascending (part, seg) orde
     chunks, bitmap and directory, then these three: chunks in bits/8 bytes each, the bitmap (least bit first; none on
     the last level), and u32 ones before each 512 bits.
 All numbers are little-endian. `doc_ids` and `doc_lens` list the segment's documents, `before` the ids of earlier
-segments of the part. A segment ends with a document.
+segments of the part. A segment ends with a document. Nothing is compressed, and each segment is a row group of its own, so
+that the file's footer says where the bytes of its codes lie: TokenFiles reads an id from the few that it needs.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -165,6 +168,10 @@ def library_encoder(path: str) -> ChunkEncoder:
 SEGMENTS = "part int, seg int, before bigint, n_tokens bigint, doc_ids array<bigint>, doc_lens array<bigint>, codes binary"
 
 
+#: Plain bytes, and a row group for each row.
+LAYOUT = {"compression": "none", "parquet.block.size": "1", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment_tokens: int = 1 << 20) -> None:
     """Encodes whole texts (null: empty), appends end_id to each, and writes segments in ascending doc_id order.
 
@@ -201,7 +208,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield row()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).withColumn("tie", F.xxhash64("text"))
-    rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text").mapInArrow(segments, SEGMENTS).write.option("compression", "zstd").parquet(path)
+    coded = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text").mapInArrow(segments, SEGMENTS)
+    coded.write.options(**LAYOUT).parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -234,8 +242,160 @@ def token_rows(spark: SparkSession, path: str) -> DataFrame:
     return read_token_files(spark, path).select("start", "doc_ids", "doc_lens", "codes").mapInArrow(rows, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+class FarCodes:
+    """Packed ids that are read where they lie. read: gives so many bytes from a place."""
+
+    def __init__(self, read: Callable[[int, int], bytes]):
+        self.read = read
+        magic, levels, self.n = struct.unpack("<4sB3xQ", read(0, 16))
+        if magic != MAGIC:
+            raise ValueError("not DAC1")
+        self.levels, at = [], 16
+        for _ in range(levels):
+            bits, n, a, b, c = struct.unpack("<B7xQQQQ", read(at, 40))
+            self.levels.append((bits, n, at + 40, at + 40 + a, at + 40 + a + b))
+            at += 40 + a + b + c
+
+    def rank(self, level: tuple[int, ...], i: int) -> int:
+        """Ones before bit i of a level: the directory's number and the bits of one block."""
+        _, n, _, bitmap, ranks = level
+        block = min(i, n - 1) // BLOCK
+        (known,) = struct.unpack("<I", self.read(ranks + 4 * block, 4))
+        own = np.frombuffer(self.read(bitmap + block * BLOCK // 8, (i + 7) // 8 - block * BLOCK // 8), np.uint8)
+        return known + int(np.unpackbits(own, bitorder="little", count=i - block * BLOCK).sum())
+
+    def slice(self, a: int, b: int) -> np.ndarray:
+        """Ids a to b, exclusive."""
+        a, b = max(0, a), min(b, self.n)
+        out, where, shift = np.zeros(max(0, b - a), np.uint32), np.arange(max(0, b - a)), 0
+        for k, level in enumerate(self.levels):
+            if b <= a:
+                break
+            bits, _, chunks, bitmap, _ = level
+            size = bits // 8
+            out[where] |= np.frombuffer(self.read(chunks + a * size, (b - a) * size), f"<u{size}").astype(np.uint32) << np.uint32(shift)
+            if k == len(self.levels) - 1:
+                break
+            own = np.frombuffer(self.read(bitmap + a // 8, (b + 7) // 8 - a // 8), np.uint8)
+            where = where[np.unpackbits(own, bitorder="little")[a % 8 : a % 8 + b - a].astype(bool)]
+            if not len(where):
+                break
+            a = self.rank(level, a)
+            b, shift = a + len(where), shift + bits
+        return out
+
+
+class StoredFile(io.RawIOBase):
+    """A file of any store that Spark reads, by positions. `count`: bytes read so far."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.jvm, self.size, self.stream = jvm, system.getFileStatus(place).getLen(), system.open(place)
+        self.at = self.count = 0
+
+    def take(self, at: int, n: int) -> bytes:
+        n = max(0, min(n, self.size - at))
+        self.stream.seek(at)
+        self.count += n
+        return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(self.stream, n)) if n else b""
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def seek(self, at: int, whence: int = 0) -> int:
+        self.at = at + (0, self.at, self.size)[whence]
+        return self.at
+
+    def tell(self) -> int:
+        return self.at
+
+    def readinto(self, buffer: bytearray) -> int:
+        data = self.take(self.at, len(buffer))
+        buffer[: len(data)] = data
+        self.at += len(data)
+        return len(data)
+
+
+class TokenFiles:
+    """Any token of written files, by its place among all or in its document, without reading a segment.
+
+    Of each part one row comes to the driver; of a file that is asked for, its footer.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        rows = spark.read.schema(SEGMENTS).parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("n"), F.min(F.col("_metadata.file_path")).alias("file"))
+        self.parts, self.total = [], 0
+        for r in sorted(rows.collect(), key=lambda r: r["part"]):
+            self.parts.append((self.total, r["part"], r["file"]))
+            self.total += r["n"]
+        self.files: dict[str, tuple[StoredFile, list[tuple[int, int, int]]]] = {}
+
+    def segments(self, file: str) -> tuple[StoredFile, list[tuple[int, int, int]]]:
+        """The file, and for each segment its first id in the part, its ids and where the pages of its codes begin."""
+        if file not in self.files:
+            stored, out = StoredFile(self.spark, file), []
+            footer = pq.read_metadata(pa.PythonFile(stored, "r"))
+            for i in range(footer.num_row_groups):
+                columns = {(c := footer.row_group(i).column(j)).path_in_schema: c for j in range(footer.num_columns)}
+                if footer.row_group(i).num_rows != 1:
+                    raise ValueError("a row group of several segments")
+                out.append((columns["before"].statistics.min, columns["n_tokens"].statistics.min, columns["codes"].data_page_offset))
+            self.files[file] = stored, out
+        return self.files[file]
+
+    @property
+    def count(self) -> int:
+        """Bytes read of all files so far."""
+        return sum(stored.count for stored, _ in self.files.values())
+
+    def tokens(self, a: int, b: int) -> np.ndarray:
+        """The ids at places a to b, exclusive, of all."""
+        out = [np.zeros(0, np.uint32)]
+        for at, (base, _, file) in enumerate(self.parts):
+            end = self.parts[at + 1][0] if at + 1 < len(self.parts) else self.total
+            if base >= b or end <= a:
+                continue
+            stored, segments = self.segments(file)
+            for before, n, page in segments:
+                first = base + before
+                if first < b and first + n > a:
+                    # a page's header ends where the value's length stands, just before the magic
+                    head = stored.take(page, 256)
+                    begin = page + head.index(MAGIC)
+                    out.append(FarCodes(lambda place, size, begin=begin, stored=stored: stored.take(begin + place, size)).slice(a - first, b - first))
+        return np.concatenate(out)
+
+    def token_at(self, place: int) -> int:
+        if not 0 <= place < self.total:
+            raise IndexError(place)
+        return int(self.tokens(place, place + 1)[0])
+
+    def tokens_of(self, doc_id: int, a: int = 0, b: int | None = None) -> list[np.ndarray]:
+        """The ids a to b, exclusive, of each document of this id; its codes aside, only the lists of documents are read for it."""
+        bases = {part: base for base, part, _ in self.parts}
+        files = self.spark.read.schema(SEGMENTS).parquet(self.path).select("part", "before", "doc_ids", "doc_lens")
+        out = []
+        for r in sorted(files.where(F.array_contains("doc_ids", F.lit(doc_id).cast("bigint"))).collect(), key=lambda r: (r["part"], r["before"])):
+            start = bases[r["part"]] + r["before"]
+            for own, n in zip(r["doc_ids"], r["doc_lens"], strict=True):
+                if own == doc_id:
+                    out.append(self.tokens(start + max(0, a), start + (n if b is None else min(b, n))))
+                start += n
+        return out
+
+
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """Writes the files to a new path in the shared folder and reads them back."""
+    """Writes the files to a new path in the shared folder and reads them back: doc_id, start, n_tokens, ids_crc32 of each row.
+
+    Nulls, ties and empty tables as write_token_files() says; texts of any length are encoded whole, in slices with others
+    or alone. Columns besides doc_id and text are ignored, whatever their names.
+    """
     path = scratch(docs.sparkSession, "tokens")
     write_token_files(docs, path, tokenizer, end_id)
     return token_rows(docs.sparkSession, path)

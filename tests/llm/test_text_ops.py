@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import struct
 import time
@@ -82,6 +83,46 @@ def test_codes(ids, widths):
         assert codes.slice(i, i + 40).tolist() == ids[i : i + 40]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500), st.sampled_from([(8, 8, 16), (16, 16), (8, 8, 8, 8), (32,)]))
+def test_far_codes(ids, widths):
+    """Codes read where they lie, a few bytes an id."""
+    data, taken = tokens.pack(np.array(ids, np.uint32), widths), []
+
+    def read(at, n):
+        taken.append(n)
+        return data[at : at + n]
+
+    codes = tokens.FarCodes(read)
+    assert codes.slice(0, len(ids)).tolist() == ids and codes.slice(5, 2).tolist() == []
+    for i in range(0, len(ids), 97):
+        taken.clear()
+        assert codes.slice(i, i + 1).tolist() == [ids[i]] and sum(taken) < 300
+        assert codes.slice(i, i + 40).tolist() == ids[i : i + 40]
+
+
+def test_tokens_from_files(spark, tmp_path, texts, library):
+    """Of files of many segments, one token takes its file's footer and a few hundred bytes."""
+    path = f"file://{tmp_path}/tokens"
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id bigint, text string")
+    tokens.write_token_files(docs, path, tokenizer_path(), segment_tokens=1 << 14)
+    files = tokens.TokenFiles(spark, path)
+    whole = [n for i in sorted(texts) for n in (*library.encode(texts[i] or "", add_special_tokens=False).ids, 0)]
+    assert files.total == len(whole) and files.tokens(0, len(whole)).tolist() == whole
+    size = sum(p.stat().st_size for p in (tmp_path / "tokens").glob("*.parquet"))
+    before = files.count
+    for place in random.Random(0).sample(range(len(whole)), 20):
+        assert files.token_at(place) == whole[place]
+    assert files.count - before < 20 * 1000 < size
+    new = tokens.TokenFiles(spark, path)
+    assert new.token_at(len(whole) - 1) == 0 and new.count < size / 3  # the last file's footer, too
+    i = sorted(texts)[len(texts) // 2]
+    own = [*library.encode(texts[i] or "", add_special_tokens=False).ids, 0]
+    assert [x.tolist() for x in files.tokens_of(i)] == [own] and [x.tolist() for x in files.tokens_of(i, 1, 4)] == [own[1:4]] and files.tokens_of(-5) == []
+    with pytest.raises(IndexError):
+        files.token_at(len(whole))
+
+
 def test_token_edges(spark):
     docs = spark.createDataFrame([(None, "x", "en", "s", 1), (3, None, None, None, None), (3, "b", "en", "s", 1), (3, "b", "en", "s", 1), (1, "", "en", "s", 0)], DOCS)
     rows = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in tokens.token_table(docs, tokenizer_path()).collect())
