@@ -1,63 +1,113 @@
 """Ranked lexical search by TPUT over term-partitioned postings.
 
 The postings of the terms that are asked for lie in files ordered by term and, in a term's list, by falling strength. A
-search takes three phases. The heads of an item's lists give partial scores, whose k-th is a lower bound. That bound,
-divided by the number of lists, is a threshold for each list: whoever reaches the bound has an entry at or above it in
-some list. The entries at or above it are fetched, and give each document met a lower and an upper bound. The exact scores
-of those whose upper bound reaches the k-th lower bound are then looked up.
+search takes three phases. The heads of an item's lists give partial scores; the k-th exact score of the best by these is
+a lower bound. A share of that bound, divided by the number of lists, is one threshold for all lists: whoever reaches the
+bound has an entry at or above it in some list. The entries at or above it are fetched, and give each document met an
+upper bound. The exact scores of those whose upper bound reaches the lower one are then looked up.
+
+The share (1 / PARTS) trades the phases: what isn't fetched of a document adds up to that share of the bound at most, so
+that with less of it more is fetched and fewer candidates are left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from string import ascii_lowercase, ascii_uppercase
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspan.llm.chunks import plain, slices
 from larkspan.llm.common import cut, discard, whole_text
 
 #: Fixed value: what stands between terms.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Stands for a null doc_id.
-NO_ID = -(1 << 63)
+#: Entries of a list's head, texts of an item whose exact scores give the bound, and parts of the bound.
+HEAD, PROBES, PARTS = 300, 100, 4
+#: Most rows of a table about items and terms that is broadcast; each is under 100 bytes. Beyond it Spark chooses.
+BROADCAST = 200_000
+#: Bytes of text that are split at once.
+SLICE = 2_000_000
+#: Of each byte its lower-case form, and whether it belongs to a term: digits, letters and all bytes beyond ASCII.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+INSIDE = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
 def terms_of(text: Column) -> Column:
     """The terms of a text in order, only A-Z lower-cased."""
-    return F.filter(F.split(F.translate(text, ascii_uppercase, ascii_lowercase), BETWEEN), lambda t: t != "")
+    return F.array_remove(F.split(F.translate(text, ascii_uppercase, ascii_lowercase), BETWEEN), "")
+
+
+def term_starts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of large strings, which of them belong to terms, where terms begin, and the row of each."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    rows, inside = offsets - offsets[0], INSIDE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edge = rows[:-1][rows[:-1] < len(data)]
+    begins[edge] = inside[edge]
+    starts = np.flatnonzero(begins)
+    return data, inside, starts, np.searchsorted(rows, starts, "right") - 1
+
+
+def counted_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, n (terms of the text), term, tf for each text and each of its terms."""
+    for batch in batches:
+        at = 0
+        for texts in slices(plain(batch.column(1)), SLICE):
+            data, inside, starts, rows = term_starts(texts)
+            ends = np.concatenate([np.cumsum(inside, dtype=np.int64)[starts] - 1, [np.count_nonzero(inside)]])
+            words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(LOWER[data[inside]]))
+            coded = words.dictionary_encode()
+            pairs, tf = np.unique(rows * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_counts=True)
+            row, code = np.divmod(pairs, max(1, len(coded.dictionary)))
+            own = pa.array(row + at)
+            n = np.bincount(rows, minlength=len(texts))[row]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), pa.array(n, pa.int64()), coded.dictionary.take(pa.array(code)).cast(pa.string()), pa.array(tf, pa.int64())], ["node", "n", "term", "tf"])
+            at += len(texts)
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, node and n of each row."""
+    for batch in batches:
+        sizes = [np.bincount(term_starts(texts)[3], minlength=len(texts)) for texts in slices(plain(batch.column(2)), SLICE)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate([np.zeros(0, np.int64), *sizes]), pa.int64())], ["doc_id", "node", "n"])
+
+
+def small(table: DataFrame) -> DataFrame:
+    """The table, to be broadcast if its rows, which are counted, are few enough."""
+    return F.broadcast(table) if table.limit(BROADCAST + 1).count() <= BROADCAST else table
 
 
 def items_of(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """item (a key) and item_id; and for each item its terms, with how often it holds them."""
     rows = benchmark.select("item_id", whole_text().alias("text")).distinct()
-    key = F.md5(F.concat(F.coalesce(F.concat(F.lit("+"), F.col("item_id").cast("string")), F.lit("-")), F.lit(":"), F.col("text")))
-    rows = cut(rows.select(key.alias("item"), "item_id", "text"), "items")
+    rows = cut(rows.select(F.xxhash64("text", "item_id", F.col("item_id").isNull()).alias("item"), "item_id", "text"), "items")
     terms = rows.select("item", F.explode(terms_of(F.col("text"))).alias("term")).groupBy("item", "term").agg(F.count(F.lit(1)).alias("times"))
     return rows, cut(terms, "item-terms")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc and part, which tell different rows apart, and terms."""
-    text, id_ = whole_text(), F.col("doc_id").cast("bigint")
-    return docs.select(F.coalesce(id_, F.lit(NO_ID)).alias("doc"), F.xxhash64(text, id_.isNull()).alias("part"), terms_of(text).alias("terms"))
-
-
-def build_postings(docs: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """The lists of the vocabulary's terms: term, doc, part, strength; the rows that are repeated, with their number; and the number of documents with a term."""
-    rows = keyed(docs)
-    sizes = cut(rows.select("doc", "part", F.size("terms").cast("bigint").alias("n")).groupBy("doc", "part").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "sizes")
-    all_ = sizes.where("n > 0").agg(F.sum("copies"), F.sum(F.col("copies") * F.col("n"))).first()
-    n, length = all_[0] or 0, all_[1] or 1
-    copies = cut(sizes.where("copies > 1").select("doc", "part", "copies"), "copies")
-    # the terms asked for meet each document's own before any shuffle, while they are few enough for Spark to broadcast
-    own = rows.select("doc", "part", F.size("terms").cast("bigint").alias("n"), F.explode("terms").alias("term")).join(vocabulary, "term")
-    own = own.groupBy("doc", "part", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("n").alias("n")).join(copies, ["doc", "part"], "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
-    own = own.withColumn("tf", F.expr("tf div copies")).withColumn("m", F.expr(f"25 + (75 * n * {n}L) div {length}L"))
-    lists = own.select("term", "doc", "part", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").alias("strength"), "copies")
+def build_postings(docs: DataFrame, vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists of the vocabulary's terms: term, node (a distinct text's address), strength, copies; and node, doc_id, rows of all documents.
+
+    Equal texts have equal scores, so a list names each text once.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).withColumn("node", F.unhex(F.md5("text")))
+    ids = rows.select("doc_id", "node", "text").mapInArrow(counted, "doc_id bigint, node binary, n bigint")
+    ids = cut(ids.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.first("n").alias("n")).where("n > 0"), "ids")
+    n, length = (x or 0 for x in ids.agg(F.sum("rows"), F.sum(F.col("rows") * F.col("n"))).first())
+    # the terms asked for meet each text's own before any shuffle, while they are few enough
+    own = rows.select("node", "text").mapInArrow(counted_terms, "node binary, n bigint, term string, tf bigint").join(small(vocabulary), "term")
+    own = own.groupBy("node", "term").agg(F.first("tf").alias("tf"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    strength = F.expr(f"(1000000000 * tf) div (1000 * tf + 8 * (25 + (75 * n * {n}L) div {length or 1}L))")
+    lists = own.select("term", "node", strength.alias("strength"), "copies")
     order = ["term", F.desc("strength")]
-    lists = cut(lists.repartitionByRange(*order, "doc").sortWithinPartitions(*order), "postings")
-    discard(sizes)
-    return lists, copies, n
+    return cut(lists.repartitionByRange(*order, "node").sortWithinPartitions(*order), "postings"), ids
 
 
 def kth(rows: DataFrame, value: str, k: int, name: str) -> DataFrame:
@@ -70,46 +120,56 @@ def search(docs: DataFrame, benchmark: DataFrame, k: int = 10) -> DataFrame:
     """item_id, rank (from 1), doc_id, score: the k documents of the highest score above 0 of each item; equal scores by ascending doc_id, a null one last.
 
     Null and empty texts have no terms: such items get no row, such documents are found by none. Texts of any length count
-    whole. Repeated documents are found each, those of one doc_id and of different texts by their hash; an item_id with
-    several texts is several items, and repeated items are one. A null item_id is an id like others. Empty tables give no
+    whole. Repeated documents are found each; an item_id with several texts is several items, and repeated items are one
+    (items are told apart by a 64-bit hash, texts by their MD5). A null item_id is an id like others. Empty tables give no
     row. Other columns are ignored, whatever their names.
     """
     items, item_terms = items_of(benchmark)
-    postings, copies, n = build_postings(docs, item_terms.select("term").distinct())
+    postings, ids = build_postings(docs, item_terms.select("term").distinct())
+    n = ids.agg(F.sum("rows")).first()[0] or 0
     weight = F.floor(1000 * F.log(F.lit(2.0 * n + 2) / (2.0 * F.col("df") + 1)))
     lists = postings.groupBy("term").agg(F.sum("copies").alias("df"), F.max("strength").alias("top")).select("term", weight.alias("weight"), "top")
-    wanted = item_terms.join(lists, "term").where("weight > 0").select("item", "term", (F.col("times") * F.col("weight")).alias("factor"), (F.col("times") * F.col("weight") * F.col("top")).alias("most"))
-    wanted = cut(wanted, "wanted")
-    gain = F.sum(F.col("factor") * F.col("strength"))
+    factor = F.col("times") * F.col("weight")
+    wanted = cut(item_terms.join(lists, "term").where("weight > 0").select("item", "term", factor.alias("factor"), (factor * F.col("top")).alias("most")), "wanted")
+    few = small(wanted.select("item", "term", "factor"))
+    entries, gain = postings.select("term", "node", "strength"), F.sum(F.col("factor") * F.col("strength"))
+
+    # 1: heads of the lists, and exact scores of the best by them
+    rank = F.row_number().over(Window.partitionBy("term").orderBy(F.desc("strength"), "node"))
+    heads = entries.withColumn("rank", rank).where(F.col("rank") <= max(k, HEAD))
+    partial = heads.join(few, "term").groupBy("item", "node").agg(gain.alias("low"))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("low"), "node"))
+    probes = cut(partial.withColumn("rank", rank).where(F.col("rank") <= max(k, PROBES)).select("item", "node"), "probes")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        """The whole scores of pairs of an item and a text."""
+        return entries.join(pairs, "node").join(few, ["item", "term"]).groupBy("item", "node").agg(gain.alias("score"))
 
-    # 1: heads of the lists
-    rank = F.row_number().over(Window.partitionBy("term").orderBy(F.desc("strength"), "doc", "part"))
-    heads = postings.select("term", "doc", "part", "strength").withColumn("rank", rank).where(F.col("rank") <= k)
-    partial = wanted.join(heads, "term").groupBy("item", "doc", "part").agg(gain.alias("low"))
-    bound = kth(partial, "low", k, "bound")
-    each = wanted.groupBy("item").agg(F.count(F.lit(1)).alias("lists")).join(bound, "item", "left").select("item", "lists", F.greatest(F.coalesce("bound", F.lit(1)), F.lit(1)).alias("bound"))
+    bound = kth(exact(probes), "score", k, "bound")
+    each = wanted.groupBy("item").agg((F.count(F.lit(1)) * PARTS).alias("lists")).join(bound, "item", "left").select("item", "lists", F.greatest(F.coalesce("bound", F.lit(1)), F.lit(1)).alias("bound"))
 
     # 2: all entries at or above the uniform threshold; an entry that isn't fetched gives less than bound / lists
-    wanted_2 = wanted.join(each, "item").withColumn("rest", F.least("most", F.expr("(bound - 1) div lists"))).withColumn("least", F.expr("(bound + lists * factor - 1) div (lists * factor)"))
-    wanted_2 = cut(wanted_2, "thresholds")
-    live = wanted_2.where("factor * least <= most")
+    thresholds = wanted.join(each, "item").withColumn("rest", F.least("most", F.expr("(bound - 1) div lists"))).withColumn("least", F.expr("(bound + lists * factor - 1) div (lists * factor)"))
+    thresholds = cut(thresholds, "thresholds")
+    live = thresholds.where("factor * least <= most")
     floors = live.groupBy("term").agg(F.min("least").alias("floor"))
-    fetched = postings.select("term", "doc", "part", "strength").join(floors, "term").where("strength >= floor").drop("floor")
-    fetched = fetched.join(live.select("item", "term", "factor", "least", "rest"), "term").where("strength >= least")
-    met = cut(fetched.groupBy("item", "doc", "part").agg(gain.alias("low"), F.sum("rest").alias("seen")), "met")
-    whole = wanted_2.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound"))
-    sharper = whole.join(kth(met, "low", k, "again"), "item", "left").select("item", "rest", F.greatest("bound", F.coalesce("again", F.lit(1))).alias("bound"))
-    candidates = cut(met.join(sharper, "item").where("low + rest - seen >= bound").select("item", "doc", "part"), "candidates")
-
-    # 3: exact scores of the candidates
-    scored = postings.select("term", "doc", "part", "strength").join(candidates, ["doc", "part"]).join(wanted.select("item", "term", "factor"), ["item", "term"])
-    scored = scored.groupBy("item", "doc", "part").agg(gain.alias("score")).where("score > 0")
-    scored = scored.join(copies, ["doc", "part"], "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("copies", F.lit(1)), F.lit(k)).cast("int"))))
-    scored = scored.withColumn("doc_id", F.when(F.col("doc") != NO_ID, F.col("doc")))
-    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "part"))
-    top = scored.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
+    fetched = entries.join(small(floors), "term").where("strength >= floor").drop("floor")
+    # each text's entries together, so that its sums for all items need no further shuffle
+    fetched = fetched.repartition("node").join(small(live.select("item", "term", "factor", "least", "rest")), "term").where("strength >= least")
+    met = fetched.groupBy("item", "node").agg(gain.alias("low"), F.sum("rest").alias("seen"))
+    whole = thresholds.groupBy("item").agg(F.sum("rest").alias("rest"), F.first("bound").alias("bound"))
+    candidates = cut(met.join(small(whole), "item").where("low + rest - seen >= bound").select("item", "node"), "candidates")
+
+    # 3: exact scores of the candidates; of those that tie with the k-th all
+    scored = exact(candidates).where("score > 0").withColumn("rank", F.rank().over(Window.partitionBy("item").orderBy(F.desc("score"))))
+    scored = cut(scored.where(F.col("rank") <= k).drop("rank"), "scored")
+    own = ids.join(scored.select("node").distinct(), "node").withColumn("row", F.explode(F.sequence(F.lit(1), F.least("rows", F.lit(k)).cast("int"))))
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.asc_nulls_last("doc_id"), "row"))
+    own = own.withColumn("first", first).where(F.col("first") <= k).select("node", "doc_id", "row")
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "node", "row"))
+    top = scored.join(own, "node").withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
     out = cut(top.join(items.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score"), "ranked")
-    discard(items, item_terms, postings, copies, wanted, wanted_2, met, candidates)
+    discard(items, item_terms, postings, ids, wanted, probes, thresholds, candidates, scored)
     return out
 
 
