@@ -7,7 +7,7 @@ word's language probabilities, also within code-switched text, and a document's
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -252,13 +252,24 @@ class ChainModel:
         return labelled(text)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with `value` computed once: written out, it would be computed anew for each element that a lambda is called with."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def excerpt(text: str) -> Column:
     """The text, or pieces of it that are WORDS words together. The driver gets no more of any row."""
-    split = F.split(F.trim(F.col(text)), r"\s+")
-    words = F.transform(split, lambda w: F.substring(w, F.lit(1), F.when(F.size(split) <= WORDS // 10, 10 * LETTERS).otherwise(LETTERS)))
     n = WORDS // PIECE
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(words, (F.lit(1) + F.floor((F.size(words) - PIECE) * i / (n - 1))).cast("int"), PIECE))
-    return F.array_join(F.when(F.size(words) <= WORDS, words).otherwise(F.flatten(pieces)), " ")
+
+    def shortened(split: Column) -> Column:
+        most = F.when(F.size(split) <= WORDS // 10, 10 * LETTERS).otherwise(LETTERS)
+        return F.transform(split, lambda w: F.substring(w, F.lit(1), most))
+
+    def pieces(words: Column) -> Column:
+        evenly = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.slice(words, (F.lit(1) + F.floor((F.size(words) - PIECE) * i / (n - 1))).cast("int"), PIECE))
+        return F.array_join(F.when(F.size(words) <= WORDS, words).otherwise(F.flatten(evenly)), " ")
+
+    return once(once(F.split(F.trim(F.col(text)), r"\s+"), shortened), pieces)
 
 
 def learn(docs: DataFrame, held_out: tuple[int, int] = (3, 1), sample: int = SAMPLE) -> ChainModel:
