@@ -1,4 +1,4 @@
-"""Transitive closure of a table of links, by semi-naive rounds."""
+"""Transitive closure of a table of links, by ways of doubled length."""
 
 from __future__ import annotations
 
@@ -7,33 +7,29 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.operators.shared import discard, written
-
-#: Tables of earlier rounds that are kept apart before they are written as one.
-APART = 8
+from larkspan.operators.shared import written
 
 
 def transitive_closure(links: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """a, b: all distinct pairs such that links lead from a to b, in at most `rounds` links if that is given.
 
-    Each round joins only the pairs that the last one found with the links, and keeps those that are new; it is written,
-    so that the lineage ends there. A round is as many rows as it finds, so there are as many rounds as the longest of
-    the shortest ways has links; a cycle ends by itself, and its members lead to themselves. Links with a null are left
-    out. The hot end of a join is split by adaptive execution, as both sides are written tables.
+    Pairs keep the length of their shortest way. When all up to some length are known, those of just that length are
+    joined with all known ones: what is new is up to twice as long. So there are as many rounds as the longest of the
+    shortest ways has binary digits, and a pair of a chain is found once. A cycle ends by itself, and its members lead to
+    themselves. Links with a null are left out. Each round's new pairs are written, so that the lineage ends there; the
+    hot end of a join is split by adaptive execution, as both sides are written tables.
     """
-    edges = written(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("x"), F.col(b).alias("y")).distinct(), "edges")
-    step = edges.select(F.col("x").alias("y"), F.col("y").alias("z"))
-    known, delta, n = [edges], edges, 1
-    while rounds is None or n < rounds:
-        reached = delta.join(step, "y").select("x", F.col("z").alias("y")).distinct()
-        delta = written(reduce(lambda new, old: new.join(old, ["x", "y"], "left_anti"), known, reached), "delta")
+    edges = links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("x"), F.col(b).alias("y"), F.lit(1).cast("bigint").alias("n")).distinct()
+    found, length = [written(edges, "edges")], 1
+    while rounds is None or length < rounds:
+        known = reduce(DataFrame.union, found)
+        # ways of just this length are among the last round's pairs
+        ends = found[-1].where(F.col("n") == length).select("x", F.col("y").alias("via"))
+        reached = ends.join(known.select(F.col("x").alias("via"), "y", "n"), "via").select("x", "y", (F.col("n") + length).alias("n"))
+        new = known.unionByName(reached).groupBy("x", "y").agg(F.min("n").alias("n")).where(F.col("n") > length)
+        delta = written(new if rounds is None else new.where(F.col("n") <= rounds), "delta")
         if not delta.limit(1).count():
-            discard(delta)
             break
-        known.append(delta)
-        n += 1
-        if len(known) > APART:
-            whole = written(reduce(DataFrame.union, known[:-1]), "known")
-            discard(*(t for t in known[:-1] if t is not edges))
-            known = [whole, delta]
-    return reduce(DataFrame.union, known).select(F.col("x").alias(a), F.col("y").alias(b))
+        found.append(delta)
+        length *= 2
+    return reduce(DataFrame.union, found).select(F.col("x").alias(a), F.col("y").alias(b))
