@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from larkspan.operators import closure, transitive_closure
+from larkspan.operators import closure, point_in_range_join, ranges, scan, transitive_closure, whole_scan
 from larkspan.plans import QUERIES
 
 
@@ -49,3 +49,32 @@ def test_merged_users_of_any_number(spark, tmp_path):
         if i % 10:
             own["b" if i % 4 else "a"].add(i % 30_000 - 9000)
     assert table(QUERIES["sketch_merge"](spark, str(tmp_path)).select("event_type", "users")) == Counter((k, len(v)) for k, v in own.items())
+
+
+def test_pages_are_dealt_out(spark, data):
+    out = QUERIES["scalar_xpath"](spark, data)
+    assert "Exchange" in out._jdf.queryExecution().executedPlan().toString()  # one file of many rows is no one task
+
+
+def test_small_ranges_are_no_more_than_keep_cores_busy(spark, monkeypatch):
+    parts, keep = [], scan.written
+    monkeypatch.setattr(scan, "written", lambda df, name: (parts.append(df.rdd.getNumPartitions()), keep(df, name))[1])
+    out = whole_scan(spark.range(2000), ["id"], "place", range_rows=1)
+    assert out.where("place <> id + 1").count() == 0 and max(parts) <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_bins_of_many_pairs_are_cut(spark, monkeypatch):
+    cut, keep = [], ranges._pieces
+    monkeypatch.setattr(ranges, "PAIRS", 50)
+    monkeypatch.setattr(ranges, "_pieces", lambda *args: (cut.append(keep(*args)), cut[-1])[1])
+    rng = random.Random(5)
+    for n, m in ((300, 20), (20, 300), (0, 5)):
+        points = [(i, float(rng.choice([10, 11.5, rng.uniform(0, 1000)]))) for i in range(n)] + [(None, None), (-1, float("inf"))]
+        spans = [(j, low, low + rng.choice([0.0, 3.0, 40.0, 500.0])) for j in range(m) for low in [float(rng.choice([9, rng.uniform(0, 1000)]))]]
+        got = point_in_range_join(spark.createDataFrame(points, "i int, x double"), spark.createDataFrame(spans, "row int, low double, high double"), "x", "low", "high", 40.0)
+        assert got.columns == ["i", "x", "row", "low", "high"]
+        assert table(got) == Counter((i, x, *r) for i, x in points for r in spans if x is not None and r[1] <= x < r[2])
+        a, b, keys = cut[-1]
+        if n:
+            most = a.groupBy(*keys).count().withColumnRenamed("count", "n").join(b.groupBy(*keys).count(), keys).selectExpr("max(n * count)").first()[0]
+            assert most <= 400
