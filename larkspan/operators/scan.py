@@ -36,7 +36,9 @@ def whole_scan(df: DataFrame, order: Order, number: str = "row_number", sums: Ma
     values = dict(zip(names, fresh(*(f"value_{i}" for i in range(len(names))), beside=(df,), names=(number, *names)), strict=True))
     given = [*sums.values(), *fills.values(), *(c for c, _ in lags.values())]
     rows = df.select("*", *(c.alias(values[n]) for n, c in zip(names, given, strict=True)), F.xxhash64(*df.columns).alias(tie))
-    ranges = min(RANGES, rows.count() // range_rows + 1)
+    total = rows.count()
+    # a range is a task and a file: with less than RANGE_ROWS rows, more of them than keep the cores busy only cost time
+    ranges = min(RANGES, total // range_rows + 1, max(4 * spark.sparkContext.defaultParallelism, total // RANGE_ROWS + 1))
     by = [*sorting(order), F.col(tie)]
     dealt = written(rows.repartitionByRange(ranges, *by).withColumn(part, F.spark_partition_id()), "ranges")
     own = Window.partitionBy(part).orderBy(*by)
