@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from larkspan.functions.tables import register_tables
 from larkspan.plans.registry import query
 from larkspan.sources.blocks import register_blocks
-from larkspan.sources.jdbc import read_table, write_table
+from larkspan.sources.jdbc import embedded
 from larkspan.streaming.run import checkpoint_folder, drain
 from larkspan.tables import Tables
 
@@ -44,10 +44,8 @@ def source_blocks_stream(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 200000")
 def source_jdbc(t: Tables) -> DataFrame:
-    """Orders through a database in the session's own JVM, read in eight parts; the database filters."""
-    url = f"jdbc:derby:memory:larkspan{uuid.uuid4().hex};create=true"
-    write_table(t.orders.select("o_orderkey", "o_custkey", "o_totalprice").coalesce(4), url, "orders")
-    return read_table(t.spark, url, "orders", "o_orderkey").where("o_totalprice > 200000")
+    """Orders through databases in the memory of the tasks' JVMs, in eight parts; the databases filter."""
+    return embedded(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), "orders", "o_orderkey").where("o_totalprice > 200000")
 
 
 @query("""SELECT user_id::BIGINT AS user_id, count(*) AS n, min(us) AS first_us, max(us) AS last_us FROM (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY us) AS g FROM

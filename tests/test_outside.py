@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
 import time
 from collections import Counter
 
@@ -10,6 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import ROOT
 from larkspan.functions.tables import register_tables
 from larkspan.sources.blocks import register_blocks
 from larkspan.sources.jdbc import read_table, write_table
@@ -104,3 +107,27 @@ def test_sessions_by_a_table_function(spark):
     assert Counter(map(tuple, spark.sql(call).collect())) == Counter([(1, 3, 0, 15_000_000), (1, 1, 40_000_000, 40_000_000), (2, 1, 5, 5), (None, 2, 1, 2)])
     with pytest.raises(Exception, match="no column nothing"):
         spark.sql(call.replace("'us'", "'nothing'")).collect()
+
+
+def test_embedded_databases_are_found_by_all_executors(tmp_path):
+    """In processes of their own, as a test session's executors are its driver."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.checkpoint.dir", "file://{tmp_path}/shared").config("spark.ui.enabled", "false").getOrCreate()
+from larkspan.session import ship
+from larkspan.sources.jdbc import embedded
+ship(spark)
+rows = spark.range(-3, 2000).selectExpr("if(id < 0, null, id) AS id", "if(id % 7 = 0, null, id / 8) AS x")
+got = embedded(rows, "numbers", "id").where("x > 100")
+assert "GreaterThan(x,100.0)" in got._jdf.queryExecution().executedPlan().toString().replace("*", "")
+assert embedded(rows, "numbers", "id").exceptAll(rows).count() == 0
+for _ in range(2):  # a second action loads anew
+    assert sorted(map(tuple, got.collect())) == [(i, i / 8) for i in range(801, 2000) if i % 7]
+assert embedded(rows.limit(0), "numbers", "id").count() == 0
+print("done")
+spark.stop()
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, check=False)
+    assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
