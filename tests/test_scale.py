@@ -78,3 +78,12 @@ def test_bins_of_many_pairs_are_cut(spark, monkeypatch):
         if n:
             most = a.groupBy(*keys).count().withColumnRenamed("count", "n").join(b.groupBy(*keys).count(), keys).selectExpr("max(n * count)").first()[0]
             assert most <= 400
+
+
+def test_word_counts_of_repeated_and_null_ids(spark, tmp_path):
+    rows = [(1, "a b a"), (1, "a c"), (2, "A, b!"), (None, "a d"), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["word_counts"](spark, str(tmp_path)).select("word", "n", "docs")
+    assert list(map(tuple, got.collect())) == [("a", 5, 2), ("b", 2, 2), ("c", 1, 1), ("d", 1, 0)]
+    spark.createDataFrame(rows[:0], "doc_id bigint, text string").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert QUERIES["word_counts"](spark, f"{tmp_path}/none").count() == 0
