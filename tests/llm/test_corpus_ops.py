@@ -436,6 +436,26 @@ def test_components_of_chains_and_stars(spark):
     assert got == components_of({n for p in real for n in p}, real)
 
 
+def test_components_go_on_from_known_ones(spark, monkeypatch):
+    """Links within known components don't go on, and a star ends in one round: what the rounds join doesn't grow with their number."""
+    sizes, real = [], components.cut
+
+    def counted(df, kind):
+        out = real(df, kind)
+        sizes.append((kind, out.count()))
+        return out
+
+    monkeypatch.setattr(components, "cut", counted)
+    star = [(50, i) for i in range(100) if i != 50]
+    known = components.components(spark.createDataFrame(star, "a bigint, b bigint"))
+    assert [n for kind, n in sizes if kind == "links"] == [99, 0]
+    sizes.clear()
+    more = [(i, i + 1) for i in range(99)] + [(3, 200), (300, 301)]
+    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(more, "a bigint, b bigint"), known).collect()}
+    assert got == dict.fromkeys([*range(100), 200], 0) | {300: 300, 301: 300}
+    assert [n for kind, n in sizes if kind == "links"] == [2, 0]
+
+
 # op9
 
 
