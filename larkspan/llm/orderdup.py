@@ -37,6 +37,8 @@ SKETCHES = 64
 FINE, SMALL, TINY = 3, 125, 24
 #: Words are counted in 1 << BAG_BITS cells of a text's bag, a byte each.
 BAG_BITS = 8
+#: Of how many bands one is looked at before the others.
+LEAD = 8
 #: Links of a representative that are verified together.
 SALT = 256
 #: Pairs left for each text of a shared band at which all are compared at once; above it, texts are first compared with their nearest.
@@ -267,11 +269,12 @@ def address(text: Column) -> Column:
 
 def text_groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Distinct texts: node (their address), id (the least doc_id; null if all are), twins (rows of that id), copies, size (in words), bands, bag."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), sketch_column(F.col("text"), threshold).alias("own"))
-    same = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("own").alias("own"))
-    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n")))
-    nulls = F.max(F.when(F.col("doc_id").isNull(), F.col("n")))
-    return same.groupBy("node").agg(least.alias("least"), nulls.alias("nulls"), F.sum("n").alias("copies"), F.first("own").alias("own")).select("node", F.col("least.doc_id").alias("id"), F.coalesce("least.n", "nulls").alias("twins"), "copies", "own.*")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).select("doc_id", address(F.col("text")).alias("node"), F.col("text"))
+    own = rows.select("doc_id", "node", sketch_column(F.col("text"), threshold).alias("own")).groupBy("node").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("own").alias("own"))
+    # rows of an id and a text are counted apart, so that sketches are shuffled once
+    twins = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("twins")).where("twins > 1").select("node", F.col("doc_id").alias("id"), "twins")
+    same = own.join(twins.withColumnRenamed("node", "twin").withColumnRenamed("id", "twin_id"), (F.col("node") == F.col("twin")) & F.col("id").eqNullSafe(F.col("twin_id")), "left")
+    return same.select("node", "id", F.coalesce("twins", F.lit(1)).alias("twins"), "copies", "own.*")
 
 
 def alike(a: str, b: str, threshold: float) -> Column:
@@ -334,22 +337,24 @@ def block_pairs(members: DataFrame, met: DataFrame, threshold: float, deal: int
 
     Two such texts lie in one cell of sizes or in two neighbouring ones, each 1 / threshold times as wide as the one
     before; a text goes to its own cell and, as a lower one, to the next. A cell's texts are dealt to blocks of BLOCK
-    texts and WORDS words or so. With `deal`, a number that shuffles them, each text meets those of its block and gives
-    NEAREST pairs at most. Without it, each block of texts outside the band's largest component meets all blocks, and
+    texts and WORDS words or so. With `deal`, a number that shuffles them, each text meets those of its block in its own
+    cell and gives NEAREST pairs at most. Without it, each block of texts outside the band's largest component meets all blocks, and
     gives all its pairs.
     """
     cell = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9) if threshold < 1 else F.col("size")
-    placed = members.select("band", "node", "size", F.xxhash64("root").alias("part"), cell.cast("bigint").alias("cell"), (F.lit(deal is None) & (F.col("root") != F.col("largest"))).alias("out"))
-    both = F.explode(F.array(F.struct(F.col("cell").alias("at"), F.lit(False).alias("lower")), F.struct((F.col("cell") + 1).alias("at"), F.lit(True).alias("lower"))))
-
-    def blocks(which: Column) -> Column:
-        return F.ceil(F.greatest(F.count(F.when(which, 1)) / BLOCK, F.coalesce(F.sum(F.when(which, F.col("size"))), F.lit(0)) / WORDS)).cast("int")
-
-    number = placed.select("band", "size", "part", "out", both.alias("in")).groupBy("band", "in.at").agg(blocks(F.col("out")).alias("outer"), blocks(~F.col("out")).alias("inner"), F.min("in.lower").alias("only_lower"), (F.min("part") < F.max("part")).alias("apart"))
+    out = F.col("root") != F.col("largest") if deal is None else F.lit(False)
+    placed = members.select("band", "node", "size", F.xxhash64("root").alias("part"), cell.cast("bigint").alias("cell"), out.alias("out"))
+    both = F.array(F.struct(F.col("cell").alias("at"), F.lit(False).alias("lower")), *([F.struct((F.col("cell") + 1).alias("at"), F.lit(True).alias("lower"))] if deal is None else []))
+    of = lambda which, value: F.sum(F.when(which, value).otherwise(0))
+    counts = [of(which, value).alias(f"{name}_{what}") for which, name in ((F.col("out"), "outer"), (~F.col("out"), "inner")) for value, what in ((F.lit(1), "n"), (F.col("size"), "words"))]
+    sums = placed.groupBy("band", "cell").agg(*counts, F.min("part").alias("low"), F.max("part").alias("high"))
+    blocks = lambda name: F.ceil(F.greatest(F.sum(f"{name}_n") / BLOCK, F.sum(f"{name}_words") / WORDS)).cast("int").alias(name)
+    number = sums.withColumn("in", F.explode(both)).groupBy("band", "in.at").agg(blocks("outer"), blocks("inner"), F.min("in.lower").alias("only_lower"), (F.min("low") < F.max("high")).alias("apart"))
     number = number.where("apart AND NOT only_lower" + (" AND outer > 0" if deal is None else ""))
     # a band has as many cells as its texts' sizes have powers of 1 / threshold
     cells = number.groupBy("band").agg(F.map_from_entries(F.collect_list(F.struct("at", F.struct("outer", "inner")))).alias("cells"))
-    rows = placed.drop("size", "part").join(cells, "band").withColumn("in", both).withColumn("n", F.try_element_at("cells", F.col("in.at"))).where("n IS NOT NULL")
+    held = F.filter(both, lambda x: F.map_contains_key("cells", x["at"]))
+    rows = placed.drop("size", "part").join(cells, "band").withColumn("in", F.explode(held)).withColumn("n", F.try_element_at("cells", F.col("in.at")))
     rows = rows.select("band", "node", F.col("in.at").alias("cell"), "in.lower", "out", "n.outer", "n.inner")
     own = lambda n: F.pmod(F.xxhash64("node", F.lit(deal or 0)), F.col(n)).cast("int")
     dealt = rows.withColumn("block", F.when(F.col("out"), own("outer")).otherwise(F.col("outer") + own("inner")))
@@ -445,30 +450,32 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return found
 
 
-def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b: verified links of distinct texts. Two texts of a band are in one component of them, or were compared.
+def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """a, b: verified links of distinct texts, and node, root: their components. Two texts of a band are in one component, or were compared.
 
-    A text is the more central, the more texts its bands have. Each text is compared with the most central one that
-    leads one of its bands. While that halves the pairs that are left, the texts of a band are then compared with the
-    nearest of their block by their bags, so that most come into one component; at last all pairs of a band whose
-    components differ are compared.
+    First each text is compared with the most central one that leads one of its bands among those of one value in LEAD; a
+    text is the more central, the more texts these bands have. So copies that share most of their bands come together
+    before all bands are looked at, and of these only the ones that still hold several components go on. While that
+    halves the pairs that are left, the texts of a band are then compared with the nearest of their block by their bags;
+    at last all pairs of a band whose components differ are compared.
     """
-    rows = groups.select("node", F.explode("bands").alias("band"))
-    # bands of the same texts say the same: one of them is kept, such as one of all those that two copies share
     hashed = F.xxhash64("node")
-    sets = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND(F.lit((1 << 40) - 1))).alias("s")).where("n > 1")
-    shared = cut(sets.groupBy("n", "x", "s").agg(F.min("band").alias("band")).select("band", "n"), "bands")
-    weights = rows.join(shared, "band").groupBy("node").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands"))
-    met = cut(weights.join(groups.select("node", "size", "bag"), "node"), "met")
-    texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text").groupBy("node").agg(F.first("text").alias("text"))
-    texts = cut(texts.join(met.select("node"), "node"), "met-texts")
-    members = cut(met.select("node", "size", "weight", F.col("node").alias("root"), F.explode("bands").alias("band")), "members")
-    central = F.max(F.struct("weight", "node", "size", "root")).alias("top")
-    reps = cut(members.groupBy("band").agg(central).select("band", "top.*"), "reps")
-    most = PAIRS * met.count()
+    own = [F.count(F.lit(1)).alias("n"), F.bit_xor(hashed).alias("x")]
+
+    def unlike(sets: DataFrame) -> DataFrame:
+        """Bands of the same texts say the same: one of them is kept, such as one of all those that two copies share."""
+        return cut(sets.groupBy("n", "x").agg(F.min("band").alias("band")).select("band", "n"), "bands")
+
+    def wanted(table: DataFrame, nodes: DataFrame) -> DataFrame:
+        return table.join(nodes, "node", "left_semi")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        texts = docs.select(whole_text().alias("text")).select(address(F.col("text")).alias("node"), "text")
+        return cut(wanted(texts, nodes).groupBy("node").agg(F.first("text").alias("text")), "met-texts")
+
     tried, found = [], []
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, met: DataFrame) -> None:
         """Verifies new pairs (node, rep), each once."""
         pairs = pairs.groupBy(F.least("node", "rep").alias("x"), F.greatest("node", "rep").alias("y")).agg(F.min("rep").alias("rep"))
         for old in tried:
@@ -476,51 +483,69 @@ def links(docs: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> D
         pairs = cut(pairs, "pairs")
         tried.append(pairs)
         maybe = cut(possible(pairs.select(F.when(F.col("rep") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("node"), "rep"), met, threshold), "possible")
+        texts = texts_of(maybe.select("node").union(maybe.select("rep")))
         found.append(verified(maybe, texts, threshold))
-        discard(maybe)
+        discard(maybe, texts)
+
+    lead = groups.select("node", F.explode(F.filter("bands", lambda x: F.pmod(x, F.lit(LEAD)) == 0)).alias("band"))
+    shared = unlike(lead.groupBy("band").agg(*own).where("n > 1"))
+    weights = lead.join(shared, "band").groupBy("node").agg(F.sum("n").alias("weight"), F.collect_list("band").alias("bands"))
+    met = cut(weights.join(groups.select("node", "size", "bag"), "node"), "met")
+    members = cut(met.select("node", "size", "weight", F.explode("bands").alias("band")), "members")
+    reps = cut(members.groupBy("band").agg(F.max(F.struct("weight", "node", "size")).alias("top")).select("band", *(F.col(f"top.{x}").alias(f"rep_{x}") for x in ("node", "size", "weight"))), "reps")
+    near = members.join(reps, "band").where((F.col("node") != F.col("rep_node")) & alike("size", "rep_size", threshold))
+    compare(near.groupBy("node").agg(F.max(F.struct("rep_weight", "rep_node")).alias("rep")).select("node", F.col("rep.rep_node").alias("rep")), met)
+    discard(shared, members, reps, met)
+    roots = components(found[0])
+
+    placed = groups.select("node", "size", "bands").join(roots, "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band"))
+    part = F.xxhash64("root")
+    shared = unlike(placed.groupBy("band").agg(*own, F.min(part).alias("low"), F.max(part).alias("high")).where("low < high"))
+    members = cut(placed.join(shared.select("band"), "band"), "members")
+    met = cut(wanted(groups.select("node", "size", "bag"), members.select("node").distinct()), "met")
+    discard(shared)
+    most = PAIRS * met.count()
 
-    def spread(roots: DataFrame) -> tuple[DataFrame, DataFrame, float]:
-        """The members with their components, the bands that hold several, and the pairs of different components in these."""
-        own = cut(met.join(roots, "node", "left").select("node", "size", "weight", F.coalesce("root", "node").alias("root"), F.explode("bands").alias("band")), "members")
-        parts = own.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
+    def mixed_of(members: DataFrame) -> tuple[DataFrame, float]:
+        """The bands that hold several components, and the pairs of different components in these."""
+        parts = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band")
         total = F.sum("n").cast("double")
-        mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), ((total * total - F.sum(F.col("n").cast("double") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", F.col("largest.root").alias("largest"), "n", "left"), "mixed")
-        return own, mixed, mixed.agg(F.sum("left")).first()[0] or 0
-
-    other = reps.select("band", *(F.col(x).alias(f"rep_{x}") for x in ("node", "size", "weight")))
-    near = members.join(other, "band").where((F.col("node") != F.col("rep_node")) & alike("size", "rep_size", threshold))
-    compare(near.groupBy("node").agg(F.max(F.struct("rep_weight", "rep_node")).alias("rep")).select("node", F.col("rep.rep_node").alias("rep")))
-    discard(members, reps)
-    members, mixed, left = spread(components(found[0]))
+        mixed = cut(parts.agg(F.max(F.struct("n", "root")).alias("largest"), ((total * total - F.sum(F.col("n").cast("double") * F.col("n"))) / 2).alias("left")).where("left > 0").select("band", F.col("largest.root").alias("largest"), "left"), "mixed")
+        return mixed, mixed.agg(F.sum("left")).first()[0] or 0
+
+    mixed, left = mixed_of(members)
     before, deal = float("inf"), 1
     while left > most and left <= before / 2:
-        wide = cut(block_pairs(members.join(mixed.select("band", "largest"), "band"), met, threshold, deal), "block-pairs")
-        compare(wide.select("node", F.explode("reps").alias("rep")))
-        discard(members, mixed, wide)
-        before, deal = left, deal + 1
-        members, mixed, left = spread(components(reduce(DataFrame.union, found)))
+        wide = cut(block_pairs(members, met, threshold, deal), "block-pairs")
+        compare(wide.select("node", F.explode("reps").alias("rep")), met)
+        old, roots = roots, components(found[-1], roots)
+        new = cut(members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+        discard(members, mixed, wide, old)
+        before, deal, members = left, deal + 1, new
+        mixed, left = mixed_of(members)
     if left:
         wide = cut(block_pairs(members.join(mixed.select("band", "largest"), "band"), met, threshold), "block-pairs")
+        texts = texts_of(wide.select("node").distinct())
         found.append(cut(block_links(wide, texts, threshold), "near-links"))
-        discard(wide)
-    discard(members, mixed)
+        old, roots = roots, components(found[-1], roots)
+        discard(wide, texts, old)
+    discard(members, mixed, met, *tried)
     out = cut(reduce(DataFrame.union, found), "near-links")
-    discard(shared, met, texts, *tried, *found)
-    return out
+    discard(*found)
+    return out, roots
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """node, class_id, keeper (the node of class_id), twins (the keeper's rows of that id), class_size, for each distinct text."""
     groups = cut(text_groups(docs, threshold), "text-groups")
-    near_links = links(docs, groups, threshold)
-    roots = components(near_links)
+    near_links, roots = links(docs, groups, threshold)
     near = groups.drop("bands", "bag").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # ids before nulls
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "twins"))
     by_root = near.groupBy("root").agg(first.alias("first"), F.sum("copies").alias("class_size"))
     by_root = cut(by_root.select("root", F.col("first.id").alias("class_id"), F.col("first.node").alias("keeper"), F.col("first.twins").alias("twins"), "class_size"), "classes")
     members = cut(near.select("node", "root").join(by_root, "root").drop("root"), "class-members")
-    discard(groups, near_links, by_root)
+    discard(groups, near_links, roots, by_root)
     return members
 
 

@@ -418,6 +418,26 @@ def test_near_crowds(spark, monkeypatch, pairs, block):
     assert {r["doc_id"]: r["class_id"] for r in orderdup.classify_documents(docs).collect()} == want
 
 
+def test_copies_meet_in_few_of_their_bands(spark, monkeypatch):
+    """A group of copies comes together by one band in LEAD; its other bands make no rows then, and other texts aren't fetched."""
+    sizes, real = Counter(), orderdup.cut
+
+    def counted(df, kind):
+        out = real(df, kind)
+        sizes[kind] += out.count()
+        return out
+
+    monkeypatch.setattr(orderdup, "cut", counted)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    copies = [" ".join(base[:i] + [f"x{i}"] + base[i + 1 :]) for i in range(0, 200, 5)]
+    alone = [" ".join(f"y{rng.randrange(10**6)}" for _ in range(50)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(copies + alone)], DOCS)
+    got = {r["doc_id"]: r["class_id"] for r in orderdup.classify_documents(docs).collect()}
+    assert got == dict.fromkeys(range(40), 0) | {i: i for i in range(40, 80)}
+    assert sizes["members"] < 40 * orderdup.SKETCHES / 2 and sizes["met-texts"] == 40
+
+
 def test_near_edges(spark):
     long = " ".join(f"w{i}" for i in range(30000))
     docs = odd_docs(spark, [(1, None), (2, ""), (3, "one two"), (4, "One  two"), (5, long), (6, long + " tail"), (7, " \n "), (3, "other text of this id")])
