@@ -36,6 +36,50 @@ def test_closure_of_any_links(spark):
         assert table(transitive_closure(spark.createDataFrame(links, "a int, b int"), "a", "b", most)) == Counter(want)
 
 
+def test_closure_writes_no_pairs_of_chains(spark, monkeypatch):
+    """A chain's pairs are the square of it: what is written grows with the chain."""
+    rows, keep = [], closure.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(closure, "written", counted)
+    got = transitive_closure(spark.range(2500).selectExpr("id AS a", "id + 1 AS b"), "a", "b")
+    assert got.selectExpr("count(*)", "sum(b - a)", "min(b - a)").first()[:] == (2500 * 2501 // 2, 2500 * 2501 * 2502 // 6, 1)
+    assert sum(rows) < 10 * 2500
+
+
+def test_closure_of_many_graphs(spark, monkeypatch):
+    """Chains, rings and tangles of more than one block, side by side."""
+    monkeypatch.setattr(closure, "BLOCK", 3)
+    rng, links = random.Random(7), []
+    for g in range(120):
+        size = rng.choice([1, 2, 4, 8, 12])
+        names = rng.sample(range(g * 100, g * 100 + 50), size)
+        kind = g % 4
+        own = [(names[i], names[(i + 1) % size]) for i in range(size if kind == 1 else size - 1)]  # a ring or a chain
+        if kind >= 2:
+            own += [(rng.choice(names), rng.choice(names)) for _ in range(kind - 1)]
+        links += own
+    steps = {}
+    for a, b in links:
+        steps.setdefault(a, set()).add(b)
+    want = set()
+    for a in steps:
+        todo, seen = list(steps[a]), set()
+        while todo:
+            if (b := todo.pop()) not in seen:
+                seen.add(b)
+                todo += steps.get(b, ())
+        want |= {(a, b) for b in seen}
+    got = transitive_closure(spark.createDataFrame(links, "a int, b bigint"), "a", "b")
+    assert got.dtypes == [("a", "int"), ("b", "bigint")] and table(got) == Counter(want)
+    words = spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in links], "a string, b string")
+    assert table(transitive_closure(words, "a", "b")) == Counter((f"n{a}", f"n{b}") for a, b in want)
+
+
 def test_histogram_of_many_files_and_sizes(spark, tmp_path):
     rows = spark.range(3000).select(F.when(F.col("id") % 150 > 0, F.col("id") % 150).cast("int").alias("p_size"))
     rows.repartition(6).write.parquet(f"{tmp_path}/part.parquet")
